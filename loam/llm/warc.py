@@ -36,6 +36,8 @@ from loam.llm.shared import small_batches, written
 
 SHARD_BYTES, ROLL_BYTES, BINS = 64 << 20, 16 << 20, 2048
 REVISIT_BYTES = 1000
+#: Compressed bytes handed to the decoder at once.
+PIECE_BYTES = 1 << 13
 #: Fixed values of the WARC 1.1 format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
@@ -175,9 +177,16 @@ _FIELD = re.compile(rb"^([^:\r\n]+): *(.*?)\r?$", re.M)
 
 def parsed(data: bytes) -> Iterator[tuple]:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload) of a file's records."""
-    while data:
-        coder = zlib.decompressobj(31)
-        raw, data = coder.decompress(data) + coder.flush(), coder.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        coder, parts = zlib.decompressobj(31), []
+        while at < len(view) and not coder.eof:
+            piece = view[at : at + PIECE_BYTES]  # what lies behind a member's end is copied, so little is handed over
+            parts.append(coder.decompress(piece))
+            at += len(piece) - len(coder.unused_data)
+        if not coder.eof:
+            raise ValueError("a file ends within a record")
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         fields = {k.decode().lower(): v.decode() for k, v in _FIELD.findall(head)}
         block = rest[: int(fields["content-length"])]

@@ -115,6 +115,8 @@ def test_damaged_archives_are_refused():
     bad = warc.gzip_member(gzip.decompress(good).replace(b"hello", b"hallo"))
     with pytest.raises(ValueError, match="digest"):
         list(warc.parsed(bad))
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.parsed(good[:-3]))
 
 
 # pipeline
