@@ -2,7 +2,8 @@
 
 1. Every page is read into a tree of elements; boilerplate (navigation, headers, footers, sidebars, notices,
    adverts, forms, reader comments, scripts, styles; by tag, role or class words) is marked. Each container is
-   scored by the text that its blocks hold outside links, and a block's text counts half for the container above.
+   scored by the text outside links that it holds, weighted by tag and class words; the deepest one that scores
+   three quarters of the highest is the page's best, or the article (else main) element around it.
 2. The page votes for its best container's path: tags with their classes from the root on, with digits
    generalised. Votes are summed per host and path in Spark, combined before the shuffle; the PATHS paths
    with most votes win.
@@ -39,6 +40,8 @@ SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("ta
 ALIKE = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tbody", "thead", "tfoot"), "thead": ("tbody", "thead", "tfoot"), "tfoot": ("tbody", "thead", "tfoot")}
 DROPPED_TAGS = frozenset("nav footer aside form button dialog head object canvas audio video menu datalist".split()) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+#: Tags that may hold an article.
+HOLDERS = frozenset("html body main article section div center".split())
 #: Words in a class or id that mark boilerplate, and those that mark main text.
 DROPPED_WORDS = frozenset("""nav navbar navigation menu submenu footer header masthead topbar toolbar sidebar aside rail ad ads adv advert adverts
 advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal overlay newsletter
@@ -68,7 +71,9 @@ class Node:
         else:
             self.path = parent.path if parent else tag
         self.dropped = parent is not None and parent.dropped or self._boilerplate(tag, named, words)
-        if tag in ("article", "main") or named.get("role") in ("main", "article"):
+        if tag in ("html", "body"):
+            self.weight = 0.8
+        elif tag in ("article", "main") or named.get("role") in ("main", "article"):
             self.weight = 1.5
         elif words & MAIN_WORDS:
             self.weight = 1.25
@@ -194,19 +199,23 @@ class Page:
         self._flush()
 
     def _score(self) -> None:
+        """A container's score: the characters outside links of all blocks in it, by its weight."""
         for text, links, node in self.blocks:
             size = len(text) - links
-            paragraph = node.tag in ("p", "li", "dd", "dt", "td", "th", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6") and node.parent is not None
-            holder, share = node.parent if paragraph else node, 1.0
-            while holder is not None and share > 0.2:
-                holder.score += size * share
-                holder, share = holder.parent, share / 2
-        for node in self.nodes:
-            node.score *= node.weight
+            while node is not None:
+                node.score += size * node.weight
+                node = node.parent
 
     def best(self) -> Node:
-        """The highest score; the outermost of equal ones."""
-        return max(self.nodes, key=lambda n: n.score)
+        """The deepest container that scores three quarters of the highest; or the outermost article, else main, around it."""
+        holders = [n for n in self.nodes if n.tag in HOLDERS]
+        most = max(n.score for n in holders)
+        found = max((n for n in holders if n.score >= 0.75 * most), key=lambda n: (n.path.count(">"), n.score))
+        around, up = {}, found
+        while up is not None:
+            around[up.tag] = up
+            up = up.parent
+        return around.get("article") or around.get("main") or found
 
     def text(self, paths: list[str]) -> str:
         best, chosen = self.best(), None

@@ -267,9 +267,18 @@ def test_odd_pages(html, text):
     assert htmltext.Page(html).text([]) == text
 
 
+def test_sections_of_an_article_stay_together():
+    section = "<section><h2>Part {0}</h2><p>" + "text of part {0} " * 20 + "</p></section>"
+    body = "".join(section.format(k) for k in range(3)) + section.format(9).replace("text", "longer text") * 3
+    for page in (f"<main><div>{body}</div></main>", f"<article><header><h1>T</h1></header><div class='body'>{body}</div></article>", f"<div class='wrap'><div>Menu</div><div>{body}</div></div>"):
+        text = htmltext.Page(f"<body>{page}<p>Some other words</p></body>").text([])
+        assert all(f"Part {k}" in text for k in (0, 1, 2, 9)) and "other words" not in text and "Menu" not in text
+        assert ("T\n" in text) == ("<h1>" in page)
+
+
 def test_host_consensus_beats_a_page_of_its_own(spark):
     usual = "<body><div class='main'><p>{}</p></div><div class='other'><p>{}</p></div></body>"
-    long, short = "many words of the article " * 4, "a few words of the rest " * 3
+    long, short = "many words of the article " * 6, "a few words of the rest " * 3
     rows = [(k, f"http://h.org/{k}", usual.format(long, short)) for k in range(5)] + [(9, "http://H.org/9", usual.format(short, long)), (10, None, usual.format(short, long)), (None, "http://h.org/n", None), (9, "http://H.org/9", usual.format(short, long))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("host", "paths", "path", "text", "votes")})
     out = {(r.page_id, r.url): r.text for r in htmltext.main_text(pages).collect()}
