@@ -6,9 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def normalise_type(kind: Column) -> Column:
-    """Lower case, with `_` and spaces as `-`. `dataModel` becomes `datamodel`: add synonyms where that matters."""
-    return F.translate(F.lower(kind), "_ ", "--")
+def normalise_type(kind: Column, synonyms: dict[str, str] | None = None) -> Column:
+    """Lower case, with `_` and spaces as `-`. `dataModel` becomes `datamodel`: give synonyms where that matters."""
+    out = F.translate(F.lower(kind), "_ ", "--")
+    for name, meant in (synonyms or {}).items():
+        out = F.when(out == name, meant).otherwise(out)
+    return out
 
 
 def join_key(value: Column) -> Column:

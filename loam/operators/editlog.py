@@ -151,6 +151,14 @@ def enrich_owner_object(ids: DataFrame, workbooks: DataFrame, models: DataFrame,
     return out.select("workbook_id", *(F.col("_m.first_name" if c == "owner_first_name" else "_m.last_name" if c == "owner_last_name" else c).alias(c) for c in ENRICHMENT))
 
 
+def ids_to_enrich(records: DataFrame, inventory: DataFrame, retry_empty: bool = True) -> DataFrame:
+    """(workbook_id) of records that the inventory doesn't know yet; with retry_empty, also those stored without any enrichment."""
+    known = inventory.filter("workbook_id is not null")
+    if retry_empty:
+        known = known.filter(F.coalesce(*(F.col(c).cast("string") for c in ENRICHMENT if c != "is_tagged")).isNotNull())
+    return records.select("workbook_id").filter("workbook_id is not null").distinct().join(known.select("workbook_id"), "workbook_id", "left_anti")
+
+
 def refresh_archived(inventory: DataFrame, workbooks: DataFrame, models: DataFrame) -> DataFrame:
     """(workbook_id, is_archived) of stored ids whose archived flag changes.
 

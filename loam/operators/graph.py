@@ -16,13 +16,13 @@ ASSET_FIELDS = ("path", "url", "created_by", "owner", "status", "migrated_at", "
 TARGET_FIELDS = ("name", "url", "path", "created_at", "updated_at")
 
 
-def extract_edges(listing: DataFrame, type_value: str, id_keys: list[str], asset_col: str = "asset_id", sources_col: str = "sources", known: DataFrame | None = None, normalise: bool = True) -> DataFrame:
+def extract_edges(listing: DataFrame, type_value: str, id_keys: list[str], asset_col: str = "asset_id", sources_col: str = "sources", known: DataFrame | None = None, normalise: bool = True, synonyms: dict[str, str] | None = None) -> DataFrame:
     """(child, parent), distinct: the sources of the wanted type, by the first non-null of the id keys.
 
     With known (a table with asset_id), only parents in it count.
     """
     rows = listing.select(F.col(asset_col).alias("child"), F.explode(sources_col).alias("s"))
-    kind = normalise_type(F.col("s.type")) if normalise else F.col("s.type")
+    kind = normalise_type(F.col("s.type"), synonyms) if normalise else F.col("s.type")
     edges = rows.filter(kind == type_value).select("child", F.coalesce(*(F.col(f"s.{k}") for k in id_keys)).alias("parent")).filter("parent is not null").distinct()
     return edges if known is None else edges.join(known.select(F.col("asset_id").alias("parent")), "parent", "left_semi").select("child", "parent")
 

@@ -28,6 +28,7 @@ def test_extract_edges_takes_first_id_and_known_parents_only(spark):
     known = spark.createDataFrame([("i1",), ("d2",)], "asset_id string")
     edges = graph.extract_edges(listing, "data-set", ["inode", "id"], known=known)
     assert sorted(map(tuple, edges.collect())) == [("c", "d2"), ("c", "i1")]
+    assert {r.parent for r in graph.extract_edges(listing, "data-set", ["inode", "id"], synonyms={"dataset": "data-set"}).collect()} == {"i1", "d2", "x", "unknown"}
     assert graph.extract_edges(listing.limit(0), "data-set", ["inode", "id"]).count() == 0
 
 

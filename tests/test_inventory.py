@@ -114,6 +114,15 @@ def test_stream_of_edits(spark, tmp_path):
     assert sorted((r.table_name, r.max_edit_num) for r in runs.read_version(spark, path).collect()) == [("t", 4), ("u", 5)]
 
 
+def test_ids_without_any_enrichment_are_tried_again(spark):
+    names = ", ".join(f"{c} {'boolean' if c.startswith('is_') else 'string'}" for c in ("workbook_id", *editlog.ENRICHMENT))
+    empty = (None,) * (len(editlog.ENRICHMENT) - 1)
+    stored = spark.createDataFrame([("known", "name", *empty), ("bare", None, *empty), (None, "name", *empty)], names)
+    records = spark.createDataFrame([("known",), ("bare",), ("new",), ("new",), (None,)], "workbook_id string")
+    assert sorted(r.workbook_id for r in editlog.ids_to_enrich(records, stored).collect()) == ["bare", "new"]
+    assert [r.workbook_id for r in editlog.ids_to_enrich(records, stored, retry_empty=False).collect()] == ["new"]
+
+
 def test_sources_in_scope_and_status(spark):
     names = ", ".join(f"{c} {'long' if c in ('n_parents', 'n_children') else 'string'}" for c in mapping.DETAILS)
     dep = spark.createDataFrame([("d1", *[None] * 7, "m1", *[None] * 5), ("d0", *[None] * 7, "m1", *[None] * 5)], names)
