@@ -12,6 +12,7 @@ from loam.operators import chains, crossover, editlog, graph, mapping, overview,
 from loam.plans.catalog_sql import oracle_sql
 from loam.plans.fixtures import SCHEMA, as_of, view
 from loam.sources.runs import latest_run, merged
+from loam.sources.shared import checkpointed
 
 __all__ = ["oracle_sql", "queries"]
 
@@ -19,9 +20,11 @@ __all__ = ["oracle_sql", "queries"]
 def full_dep(spark: SparkSession, d: str) -> DataFrame:
     """Two runs, the older of which has the larger run id."""
     v = partial(view, spark, d)
-    dep = graph.dependency_table(v("fx_asset"), v("fx_edge"), v("fx_target"), "a1", "2001-08-02")
-    old = dep.filter("asset_id % 2 = 0").withColumns({"run_id": F.lit("f9"), "created_at": F.lit("2001-07-01").cast("timestamp_ntz")})
-    return dep.unionByName(old)
+    now = graph.dependency_table(v("fx_asset"), v("fx_edge"), v("fx_target"), "a1", "2001-08-02")
+    run = lambda i, t: F.struct(F.lit(i).alias("run_id"), F.lit(t).cast("timestamp_ntz").alias("created_at"))
+    both = F.when(F.col("asset_id") % 2 == 0, F.array(run("a1", "2001-08-02"), run("f9", "2001-07-01"))).otherwise(F.array(run("a1", "2001-08-02")))
+    rest = [c for c in now.columns if c not in ("run_id", "created_at")]
+    return now.select(F.explode(both).alias("run"), *rest).select("run.*", *rest)
 
 
 def dep(spark: SparkSession, d: str) -> DataFrame:
@@ -30,6 +33,11 @@ def dep(spark: SparkSession, d: str) -> DataFrame:
     return graph.dependency_table(v("fx_asset"), v("fx_edge"), v("fx_target"), "a1", "2001-08-02")
 
 
+def kept_dep(spark: SparkSession, d: str) -> DataFrame:
+    """dep(), computed once for queries that join it with itself."""
+    return checkpointed(dep(spark, d))
+
+
 def aliased_listing(v) -> DataFrame:
     """Each asset with its sources, their types spelled in three ways, by alias ids for every third parent."""
     kind = F.when(F.col("parent") % 3 == 0, "Data_Set").when(F.col("parent") % 3 == 1, "data set").otherwise("data-set")
@@ -118,29 +126,29 @@ def m5_mapping_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c1_walk_chains(spark: SparkSession, d: str) -> DataFrame:
-    out = chains.walk_chains(dep(spark, d))
+    out = chains.walk_chains(kept_dep(spark, d))
     return out.select("asset_id", "role", "depth", F.array_join(F.transform("chain", lambda x: x["asset_id"].cast("string")), ">").alias("ids"))
 
 
 
 def c2_dataset_chains(spark: SparkSession, d: str) -> DataFrame:
     """Complete paths, pivoted, with path text, length and status (C2, C4, C5, C6)."""
-    out = chains.dataset_chains(dep(spark, d))
+    out = chains.dataset_chains(kept_dep(spark, d))
     return out.select(*(f"L{k}_{f}" for k in range(5) for f in ("asset_id", "asset_name", "status")), "chain_path", "chain_length", "chain_status")
 
 
 def c3_model_chains(spark: SparkSession, d: str) -> DataFrame:
     """Terminal chains, pivoted (C3, C4)."""
-    out = chains.model_chains(dep(spark, d))
+    out = chains.model_chains(kept_dep(spark, d))
     return out.select("L0_asset_id", "L0_asset_name", "L0_asset_path", "L0_asset_url", *(f"L{k}_{f}" for k in range(1, 5) for f in ("asset_id", "asset_name")), "chain_length")
 
 
 def x1_fork_points(spark: SparkSession, d: str) -> DataFrame:
-    return crossover.fork_points(dep(spark, d))
+    return crossover.fork_points(kept_dep(spark, d))
 
 
 def x2_merge_points(spark: SparkSession, d: str) -> DataFrame:
-    return crossover.merge_points(dep(spark, d))
+    return crossover.merge_points(kept_dep(spark, d))
 
 
 def x3_fork_points_simple(spark: SparkSession, d: str) -> DataFrame:
