@@ -42,7 +42,7 @@ VOTE_ROWS = 65536
 
 #: Of 128 bits: the radii of near_dedup, and the distance at which texts are copies without an exact test.
 RADII, SURE = (6, 13, 20, 26), 4
-#: Links that a set of copies puts to the exact test in one round.
+#: Links that a set of copies puts to the exact test in the first round; four times as many in each further one.
 ASKED = 3
 
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -251,12 +251,41 @@ def long_run_links(fps: np.ndarray, radii: tuple[int, ...]) -> tuple[np.ndarray,
     return left[0], right[0]
 
 
+def shortest_forest(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """The places of the links (a, b, d) over n rows that make up a minimum spanning forest (by Boruvka's rounds)."""
+    order = np.argsort(d, kind="stable")
+    a, b, place = a[order], b[order], np.arange(len(order))
+    root, chosen = np.arange(n), []
+    while len(place):
+        x, y = root[a[place]], root[b[place]]
+        place, x, y = place[x != y], x[x != y], y[x != y]
+        first = np.full(n, len(order))
+        np.minimum.at(first, x, place)
+        np.minimum.at(first, y, place)
+        best = np.unique(first[first < len(order)])
+        chosen.append(best)
+        # each set hangs on the other end of its shortest link; of two that chose the same link the smaller stays
+        up = np.arange(n)
+        ends = np.stack([root[a[best]], root[b[best]]])
+        for own, other in (ends, ends[::-1]):
+            mine = first[own] == best
+            up[own[mine]] = other[mine]
+        twice = (up[up] == np.arange(n)) & (np.arange(n) < up)
+        up[twice] = np.flatnonzero(twice)
+        while (up[up] != up).any():
+            up = up[up]
+        root = up[root]
+    return order[np.concatenate(chosen)] if chosen else np.empty(0, np.int64)
+
+
 def run_links(fps: np.ndarray, lengths: np.ndarray, radii: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     starts, left, right = np.cumsum(lengths) - lengths, [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     short = (lengths > 1) & (lengths <= SHORT_RUN)
     if short.any():
         rows = np.flatnonzero(np.repeat(short, lengths))
         a, b = short_run_links(fps[rows], lengths[short], radii[-1])
+        kept = shortest_forest(len(rows), a, b, np.bitwise_count(fps[rows[a]] ^ fps[rows[b]]).sum(1))
+        a, b = a[kept], b[kept]
         left.append(rows[a])
         right.append(rows[b])
     for k in np.flatnonzero(lengths > SHORT_RUN):
@@ -298,8 +327,8 @@ def _compare(radii: tuple[int, ...]):
 def fingerprint_links(nodes: DataFrame, masks: list[tuple[int, ...]], radii: tuple[int, ...], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(a, b, d): nodes linked, with their distance. nodes: node and f0, f1..., all long, one row per node.
 
-    The links connect all pairs within the last radius that meet under a mask. The radii before it only shorten
-    the links of large buckets, which are reduced to a spanning forest.
+    The links connect all pairs within the last radius that meet under a mask: a spanning forest of each bucket's
+    links. The radii before it only shorten the links of large buckets; those of small ones are the shortest.
     """
     lanes = [c for c in nodes.columns if c != "node"]
     signed = lambda m: F.lit(m - (1 << 64) if m >> 63 else m).cast("long")
@@ -361,7 +390,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = fingerprint_links(nodes.select("node", *lanes), masks, radii)
     links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct(), "links")
     close = written(connected_components(links.filter(F.col("d") <= sure).select("a", "b")), "roots")
-    roots, left = close, links.filter(F.col("d") > sure)
+    roots, left, quota = close, links.filter(F.col("d") > sure), ASKED
     while True:
         to = lambda end, r=roots: r.select(F.col("node").alias(end), F.col("root").alias(f"{end}_set"))
         apart = left.join(to("a"), "a", "left").join(to("b"), "b", "left").select("a", "b", "d", F.coalesce("a_set", "a").alias("x"), F.coalesce("b_set", "b").alias("y"))
@@ -371,7 +400,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         # the shortest open links of each set are put to the exact test; the others wait for what comes of it
         sides = left.select("a", "b", "d", F.explode(F.array("x", "y")).alias("set"))
         first = Window.partitionBy("set").orderBy("d", "a", "b")
-        asked = written(sides.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= ASKED).select("a", "b").distinct(), "asked")
+        asked = written(sides.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= quota).select("a", "b").distinct(), "asked")
         ends = asked.select(F.col("a").alias("node")).union(asked.select("b")).distinct()
         texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text")).join(ends, "node", "left_semi")
         texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "asked-texts")
@@ -380,6 +409,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         roots = written(connected_components(alike.union(roots.select("node", "root"))), "roots")
         left = left.join(asked, ["a", "b"], "left_anti").select("a", "b", "d")
         removed(texts)
+        quota *= 4
     classed = nodes.join(roots, "node", "left").select("node", "rank", F.coalesce("root", "node").alias("class"))
     stay = written(classed.groupBy("class").agg(F.min(F.struct("rank", "node")).alias("s")).select(F.col("s.rank.id").alias("id"), F.col("s.node").alias("node")), "staying")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own"), F.xxhash64(text_col).alias("node"))

@@ -51,6 +51,23 @@ def test_short_runs_against_brute_force(radius):
     assert {(min(p), max(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} == expected and len(a) == len(expected)
 
 
+def test_shortest_forest_against_kruskal():
+    rng = np.random.default_rng(5)
+    for n, m in ((1, 0), (2, 1), (30, 25), (60, 400)):
+        a, b, d = rng.integers(0, n, m), rng.integers(0, n, m), rng.integers(0, 5, m)
+        names, total, size = list(range(n)), 0, 0
+        for k in np.argsort(d, kind="stable"):
+            if names[a[k]] != names[b[k]]:
+                names = [names[a[k]] if x == names[b[k]] else x for x in names]
+                total, size = total + d[k], size + 1
+        kept = simhash.shortest_forest(n, a, b, d)
+        again = list(range(n))
+        for k in kept:
+            assert again[a[k]] != again[b[k]]
+            again = [again[a[k]] if x == again[b[k]] else x for x in again]
+        assert len(kept) == size and d[kept].sum() == total
+
+
 @pytest.mark.parametrize("lanes", [1, 2])
 def test_long_run_connects_what_brute_force_does(lanes):
     rng = np.random.default_rng(1)
