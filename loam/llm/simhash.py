@@ -398,9 +398,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if left.isEmpty():
             break
         # the shortest open links of each set are put to the exact test; the others wait for what comes of it
-        sides = left.select("a", "b", "d", F.explode(F.array("x", "y")).alias("set"))
-        first = Window.partitionBy("set").orderBy("d", "a", "b")
-        asked = written(sides.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= quota).select("a", "b").distinct(), "asked")
+        first = lambda end: F.row_number().over(Window.partitionBy(end).orderBy("d", "a", "b"))
+        asked = [left.withColumn("k", first(end)).filter(F.col("k") <= quota).select("a", "b") for end in ("x", "y")]
+        asked = written(asked[0].union(asked[1]).distinct(), "asked")
         ends = asked.select(F.col("a").alias("node")).union(asked.select("b")).distinct()
         texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text")).join(ends, "node", "left_semi")
         texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "asked-texts")
