@@ -391,6 +391,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct(), "links")
     close = written(connected_components(links.filter(F.col("d") <= sure).select("a", "b")), "roots")
     roots, left, quota = close, links.filter(F.col("d") > sure), ASKED
+    # the texts that a test may need are gathered once: those with a link that isn't sure
+    ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text")).join(ends, "node", "left_semi")
+    texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "linked-texts")
     while True:
         to = lambda end, r=roots: r.select(F.col("node").alias(end), F.col("root").alias(f"{end}_set"))
         apart = left.join(to("a"), "a", "left").join(to("b"), "b", "left").select("a", "b", "d", F.coalesce("a_set", "a").alias("x"), F.coalesce("b_set", "b").alias("y"))
@@ -401,15 +405,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         first = lambda end: F.row_number().over(Window.partitionBy(end).orderBy("d", "a", "b"))
         asked = [left.withColumn("k", first(end)).filter(F.col("k") <= quota).select("a", "b") for end in ("x", "y")]
         asked = written(asked[0].union(asked[1]).distinct(), "asked")
-        ends = asked.select(F.col("a").alias("node")).union(asked.select("b")).distinct()
-        texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text")).join(ends, "node", "left_semi")
-        texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "asked-texts")
         both = asked.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
         alike = both.mapInArrow(_similar(words, similarity), "a long, b long")
         roots = written(connected_components(alike.union(roots.select("node", "root"))), "roots")
         left = left.join(asked, ["a", "b"], "left_anti").select("a", "b", "d")
-        removed(texts)
         quota *= 4
+    removed(texts)
     classed = nodes.join(roots, "node", "left").select("node", "rank", F.coalesce("root", "node").alias("class"))
     stay = written(classed.groupBy("class").agg(F.min(F.struct("rank", "node")).alias("s")).select(F.col("s.rank.id").alias("id"), F.col("s.node").alias("node")), "staying")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own"), F.xxhash64(text_col).alias("node"))
