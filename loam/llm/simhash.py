@@ -44,6 +44,8 @@ VOTE_ROWS = 65536
 RADII, SURE = (6, 13, 20, 26), 4
 #: Links that a set of copies puts to the exact test in the first round; four times as many in each further one.
 ASKED = 3
+#: Shingles whose counts order the others by rarity; it changes how many pairs are tested, not which are found.
+COMMON = 200_000
 
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -295,8 +297,11 @@ def run_links(fps: np.ndarray, lengths: np.ndarray, radii: tuple[int, ...]) -> t
     return np.concatenate(left), np.concatenate(right)
 
 
-def _compare(radii: tuple[int, ...]):
-    """Links of the runs of equal (bucket, i, j), which arrive one after the other; then node and lanes."""
+def _by_runs(pairs):
+    """Links of the runs of equal (bucket, i, j), which arrive one after the other; then node and what else pairs() reads.
+
+    pairs(rest, lengths): the row pairs linked within consecutive runs of these lengths, and their distances.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -304,9 +309,7 @@ def _compare(radii: tuple[int, ...]):
         def links(rows: np.ndarray) -> pa.RecordBatch:
             edge = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(axis=0)) + 1
             lengths = np.diff(np.concatenate(([0], edge, [rows.shape[1]])))
-            fps = np.ascontiguousarray(rows[4:].T).view(np.uint64)
-            a, b = run_links(fps, lengths, radii)
-            d = np.bitwise_count(fps[a] ^ fps[b]).sum(1, dtype=np.int64)
+            a, b, d = pairs(rows[4:], lengths)
             return pa.RecordBatch.from_arrays([pa.array(rows[3][a]), pa.array(rows[3][b]), pa.array(d)], ["a", "b", "d"])
 
         for batch in batches:
@@ -324,6 +327,28 @@ def _compare(radii: tuple[int, ...]):
     return run
 
 
+def _compare(radii: tuple[int, ...]):
+    """Links of the runs of equal (bucket, i, j) by their lanes."""
+
+    def pairs(lanes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        fps = np.ascontiguousarray(lanes.T).view(np.uint64)
+        a, b = run_links(fps, lengths, radii)
+        return a, b, np.bitwise_count(fps[a] ^ fps[b]).sum(1, dtype=np.int64)
+
+    return _by_runs(pairs)
+
+
+def _tiles(rows: DataFrame, names: list[str]) -> DataFrame:
+    """rows (bucket, n, node and the names), n blocks a bucket: each bucket, or each pair of its blocks, in one run."""
+    own, last = F.pmod(F.xxhash64("node"), F.coalesce("n", F.lit(1))).cast("int"), F.coalesce("n", F.lit(1)) - 1
+    tiles = (
+        rows.withColumn("own", own)
+        .withColumn("other", F.explode(F.when(last < 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), last), lambda x: x != F.col("own")))))
+        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *names)
+    )
+    return tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+
 def fingerprint_links(nodes: DataFrame, masks: list[tuple[int, ...]], radii: tuple[int, ...], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(a, b, d): nodes linked, with their distance. nodes: node and f0, f1..., all long, one row per node.
 
@@ -335,15 +360,7 @@ def fingerprint_links(nodes: DataFrame, masks: list[tuple[int, ...]], radii: tup
     keys = F.array(*(F.xxhash64(F.lit(t), *(F.col(f).bitwiseAND(signed(m)) for f, m in zip(lanes, mask, strict=True))) for t, mask in enumerate(masks)))
     rows = nodes.select(F.explode(keys).alias("bucket"), "node", *lanes)
     hot = written(rows.groupBy("bucket").count().filter(F.col("count") > block_rows).select("bucket", F.ceil(F.col("count") / block_rows).cast("int").alias("n")), "hot-buckets")
-    own, last = F.pmod(F.xxhash64("node"), F.coalesce("n", F.lit(1))).cast("int"), F.coalesce("n", F.lit(1)) - 1
-    tiles = (
-        rows.join(hot, "bucket", "left")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), last), lambda x: x != F.col("own")))))
-        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *lanes)
-    )
-    tiles = tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return tiles.mapInArrow(_compare(radii), "a long, b long, d long")
+    return _tiles(rows.join(hot, "bucket", "left"), lanes).mapInArrow(_compare(radii), "a long, b long, d long")
 
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 4) -> DataFrame:
@@ -373,25 +390,112 @@ def _similar(words: int, least: float):
     return run
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radii: tuple[int, ...] = RADII, sure: int = SURE, masks: list | None = None) -> DataFrame:
-    """The rows of docs without near copies: one document of each group stays, with all its columns.
+def common_shingles(docs: DataFrame, text_col: str = "text", words: int = 5, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in several texts, ascending, with counts: those seen most often of all that repeat within VOTE_ROWS
+    or more shingles read one after the other. They only order shingles by rarity, so none need be found."""
 
-    Equal texts are one node. Nodes link by 128-bit fingerprints over `words`-word shingles: at `sure` or
-    fewer differing bits at once, up to the last radius if the exact Jaccard similarity of their shingle sets
-    is at least `similarity`. Of each group of linked texts the smallest id stays (nulls last; one of its rows if it
-    is repeated). Texts without words are equal to each other. Searching at RADII finds about 94 % of the pairs
-    of similarity 0.8 and nearly all of 0.85 and more, before what the sampled masks miss.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held += [np.unique(shingle_hashes(x.as_py(), words)) for x in batch.column(0)]
+            if sum(map(len, held)) >= 16 * VOTE_ROWS:
+                yield counted(held)
+                held = []
+        if held:
+            yield counted(held)
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, count = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found[count > 1].view(np.int64)), pa.array(count[count > 1])], ["shingle", "n"])
+
+    rows = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "shingle long, n long")
+    top = rows.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "shingle").limit(most).collect()
+    found, count = np.array([r["shingle"] for r in top], np.int64).view(np.uint64), np.array([r["n"] for r in top], np.int64)
+    order = np.argsort(found)
+    return found[order], count[order]
+
+
+def rare_first(found: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A shingle set, least common first, in an order that is the same for all texts."""
+    names, counts = common
+    if not len(names):
+        return np.sort(found)
+    at = np.minimum(np.searchsorted(names, found), len(names) - 1)
+    return found[np.lexsort((found, np.where(names[at] == found, counts[at], 0)))]
+
+
+def _prefixes(words: int, similarity: float, common: tuple[np.ndarray, np.ndarray]):
+    """(node, size, shingles): a text's shingles that one of any text alike must share, with the size of its set.
+
+    Of two sets alike both hold at least `similarity` of either, so among all but that many of the rarest of each,
+    and one more, one is shared. Texts without words share the shingle 0.
     """
-    masks = masks or sampled_masks(lanes=2)
-    lanes = ["f0", "f1"]
-    keyed = fingerprints(docs, id_col, text_col, words, lanes=2)
-    rank = F.struct(F.col("id").isNull().alias("missing"), "id")
-    nodes = written(keyed.groupBy("node").agg(*(F.min(f).alias(f) for f in lanes), F.min(rank).alias("rank")), "texts")
-    links = fingerprint_links(nodes.select("node", *lanes), masks, radii)
-    links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct(), "links")
-    close = written(connected_components(links.filter(F.col("d") <= sure).select("a", "b")), "roots")
-    roots, left, quota = close, links.filter(F.col("d") > sure), ASKED
-    # the texts that a test may need are gathered once: those with a link that isn't sure
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            fresh = []
+            for k, node in enumerate(batch.column(0).to_pylist()):
+                if node not in seen:
+                    seen.add(node)
+                    fresh.append(k)
+            sets = [np.unique(shingle_hashes(batch.column(1)[k].as_py(), words)) for k in fresh]
+            kept = [rare_first(x, common)[: len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1] if len(x) else np.zeros(1, np.uint64) for x in sets]
+            names = batch.column(0).take(pa.array(fresh, pa.int64()))
+            yield pa.RecordBatch.from_arrays([names, pa.array([len(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in kept], pa.list_(pa.int64()))], ["node", "size", "shingles"])
+
+    return run
+
+
+def _sharing(similarity: float):
+    """Pairs of different sets of copies in runs of equal (bucket, i, j) whose sizes and places let them be alike."""
+
+    def pairs(rest: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(-lengths, kind="stable")
+        starts, sizes = np.cumsum(lengths) - lengths, lengths[order]
+        rows = np.repeat(starts[order] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        run, (kin, size, place) = np.repeat(np.arange(len(sizes)), sizes), rest[:, rows]
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for d in range(1, int(sizes[0])):
+            n = int(sizes[sizes > d].sum())
+            x, y = np.arange(n - d), np.arange(d, n)
+            keep = (run[x] == run[y]) & (kin[x] != kin[y])
+            x, y = x[keep], y[keep]
+            # nothing before a first shared shingle is shared, so this many may be
+            shared = 1 + np.minimum(size[x] - place[x] - 1, size[y] - place[y] - 1)
+            shared = np.where(size[x] + size[y] == 0, 0, np.minimum(shared, np.minimum(size[x], size[y])))
+            keep = shared >= similarity * (size[x] + size[y] - shared) - 1e-6
+            left.append(rows[x[keep]])
+            right.append(rows[y[keep]])
+        a, b = np.concatenate(left), np.concatenate(right)
+        return a, b, np.ones(len(a), np.int64)
+
+    return _by_runs(pairs)
+
+
+def shared_links(docs: DataFrame, roots: DataFrame, text_col: str = "text", words: int = 5, similarity: float = 0.8, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b, d): every pair of texts alike that roots (node, root) leave apart, and others; d is less the more they share.
+
+    By prefix filtering, without loss: each text meets those that share one of its rarest shingles.
+    """
+    common = common_shingles(docs, text_col, words)
+    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text"))
+    found = texts.mapInArrow(_prefixes(words, similarity, common), "node long, size long, shingles array<long>")
+    found = written(found.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("kin"), "size", "shingles"), "prefixes")
+    rows = found.select("node", "kin", "size", F.posexplode("shingles").alias("place", "bucket"))
+    met = rows.groupBy("bucket").agg(F.min("kin").alias("low"), F.max("kin").alias("high"), F.count("*").alias("c")).filter("low <> high")
+    met = written(met.select("bucket", F.ceil(F.col("c") / block_rows).cast("int").alias("n")), "shared-shingles")
+    links = _tiles(rows.join(met, "bucket"), ["kin", "size", "place"]).mapInArrow(_sharing(similarity), "a long, b long, d long")
+    links = links.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg((-F.count("*")).alias("d"))
+    links = written(links, "shared-links")
+    removed(found)
+    return links
+
+
+def _tested(docs: DataFrame, links: DataFrame, roots: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame:
+    """roots with the sets joined whose texts are alike by one of the links; none between two sets is left untested."""
+    left, quota = links, ASKED
+    # the texts that a test may need are gathered once
     ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text")).join(ends, "node", "left_semi")
     texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "linked-texts")
@@ -411,6 +515,29 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         left = left.join(asked, ["a", "b"], "left_anti").select("a", "b", "d")
         quota *= 4
     removed(texts)
+    return roots
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radii: tuple[int, ...] = RADII, sure: int = SURE, masks: list | None = None) -> DataFrame:
+    """The rows of docs without near copies: one document of each group stays, with all its columns.
+
+    Equal texts are one node. Nodes link if the exact Jaccard similarity of the sets of their `words`-word
+    shingles is at least `similarity`; at `sure` or fewer differing bits of 128-bit fingerprints at once. Of each
+    group of linked texts the smallest id stays (nulls last; one of its rows if it is repeated). Texts without
+    words are equal to each other. Fingerprints under the masks join most copies first; then each text is held
+    against all of other sets that share a shingle as rare as a text alike must share, so no pair is missed.
+    """
+    masks = masks or sampled_masks(lanes=2)
+    lanes = ["f0", "f1"]
+    keyed = fingerprints(docs, id_col, text_col, words, lanes=2)
+    rank = F.struct(F.col("id").isNull().alias("missing"), "id")
+    nodes = written(keyed.groupBy("node").agg(*(F.min(f).alias(f) for f in lanes), F.min(rank).alias("rank")), "texts")
+    links = fingerprint_links(nodes.select("node", *lanes), masks, radii)
+    links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct(), "links")
+    roots = written(connected_components(links.filter(F.col("d") <= sure).select("a", "b")), "roots")
+    roots = _tested(docs, links.filter(F.col("d") > sure), roots, text_col, words, similarity)
+    # a bucket's forest lacks links, and the masks miss some: what is left comes from shared shingles
+    roots = _tested(docs, shared_links(docs, roots, text_col, words, similarity), roots, text_col, words, similarity)
     classed = nodes.join(roots, "node", "left").select("node", "rank", F.coalesce("root", "node").alias("class"))
     stay = written(classed.groupBy("class").agg(F.min(F.struct("rank", "node")).alias("s")).select(F.col("s.rank.id").alias("id"), F.col("s.node").alias("node")), "staying")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own"), F.xxhash64(text_col).alias("node"))
