@@ -84,13 +84,17 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, lanes: int = 1) -> DataFrame:
-    """(id, node, f0, f1...): one row per document; node is a hash of the text, f* are the lanes as signed longs."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, lanes: int = 1, once: bool = False) -> DataFrame:
+    """(id, node, f0, f1...): one row per document; node is a hash of the text, f* are the lanes as signed longs.
+
+    With `once`, a shingle votes once however often the text repeats it.
+    """
     names = [f"f{k}" for k in range(lanes)]
+    voting = lambda x: np.unique(shingle_hashes(x, words)) if once else shingle_hashes(x, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(shingle_hashes(x.as_py(), words), lanes) for x in batch.column(2)], np.uint64).reshape(-1, lanes)
+            fps = np.array([fingerprint(voting(x.as_py()), lanes) for x in batch.column(2)], np.uint64).reshape(-1, lanes)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in fps.T)], ["id", "node", *names])
 
     small_batches(docs.sparkSession)
@@ -529,7 +533,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     masks = masks or sampled_masks(lanes=2)
     lanes = ["f0", "f1"]
-    keyed = fingerprints(docs, id_col, text_col, words, lanes=2)
+    keyed = fingerprints(docs, id_col, text_col, words, lanes=2, once=True)
     rank = F.struct(F.col("id").isNull().alias("missing"), "id")
     nodes = written(keyed.groupBy("node").agg(*(F.min(f).alias(f) for f in lanes), F.min(rank).alias("rank")), "texts")
     links = fingerprint_links(nodes.select("node", *lanes), masks, radii)

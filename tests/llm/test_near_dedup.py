@@ -35,3 +35,12 @@ def test_links_that_a_forest_leaves_out_are_tested(spark, monkeypatch):
 
     monkeypatch.setattr(simhash, "fingerprints", fingerprints)
     assert expected(texts) == [0, 1] == kept(spark, texts)
+
+
+def test_copies_that_repeat_a_line_differently_share_a_fingerprint(spark):
+    words, line = " ".join(f"w{k}" for k in range(300)), " ".join(f"line{k}" for k in range(11))
+    texts = [" ".join([words, *[line] * n]) for n in (3, 100)]
+    assert kept(spark, texts) == expected(texts) == [0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    once = simhash.fingerprints(docs, lanes=2, once=True).collect()
+    assert once[0].f0 == once[1].f0 and once[0].f1 == once[1].f1
