@@ -40,8 +40,8 @@ BUFFER_ROWS = 32768
 #: Hashes voted on at once in a very long text.
 VOTE_ROWS = 65536
 
-#: Of 128 bits: the radii of near_dedup, and the distance at which texts are copies without an exact test.
-RADII, SURE = (6, 13, 20, 26), 4
+#: Of 128 bits: the radii of near_dedup.
+RADII = (6, 13, 20, 26)
 #: Links that a set of copies puts to the exact test in the first round; four times as many in each further one.
 ASKED = 3
 #: Shingles whose counts order the others by rarity; it changes how many pairs are tested, not which are found.
@@ -522,13 +522,12 @@ def _tested(docs: DataFrame, links: DataFrame, roots: DataFrame, text_col: str,
     return roots
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radii: tuple[int, ...] = RADII, sure: int = SURE, masks: list | None = None) -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radii: tuple[int, ...] = RADII, masks: list | None = None) -> DataFrame:
     """The rows of docs without near copies: one document of each group stays, with all its columns.
 
     Equal texts are one node. Nodes link if the exact Jaccard similarity of the sets of their `words`-word
-    shingles is at least `similarity`; at `sure` or fewer differing bits of 128-bit fingerprints at once. Of each
-    group of linked texts the smallest id stays (nulls last; one of its rows if it is repeated). Texts without
-    words are equal to each other. Fingerprints under the masks join most copies first; then each text is held
+    shingles is at least `similarity`; equal fingerprints don't suffice. Of each group of linked texts the smallest
+    id stays (nulls last; one of its rows if it is repeated). Texts without words are equal to each other. Fingerprints under the masks join most copies first; then each text is held
     against all of other sets that share a shingle as rare as a text alike must share, so no pair is missed.
     """
     masks = masks or sampled_masks(lanes=2)
@@ -538,8 +537,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = written(keyed.groupBy("node").agg(*(F.min(f).alias(f) for f in lanes), F.min(rank).alias("rank")), "texts")
     links = fingerprint_links(nodes.select("node", *lanes), masks, radii)
     links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct(), "links")
-    roots = written(connected_components(links.filter(F.col("d") <= sure).select("a", "b")), "roots")
-    roots = _tested(docs, links.filter(F.col("d") > sure), roots, text_col, words, similarity)
+    none = docs.sparkSession.createDataFrame([], "node long, root long")
+    roots = _tested(docs, links, none, text_col, words, similarity)
     # a bucket's forest lacks links, and the masks miss some: what is left comes from shared shingles
     roots = _tested(docs, shared_links(docs, roots, text_col, words, similarity), roots, text_col, words, similarity)
     classed = nodes.join(roots, "node", "left").select("node", "rank", F.coalesce("root", "node").alias("class"))

@@ -44,3 +44,13 @@ def test_copies_that_repeat_a_line_differently_share_a_fingerprint(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     once = simhash.fingerprints(docs, lanes=2, once=True).collect()
     assert once[0].f0 == once[1].f0 and once[0].f1 == once[1].f1
+
+
+def test_equal_fingerprints_alone_join_nothing(spark, monkeypatch):
+    def fingerprints(docs, *args, **more):
+        return docs.selectExpr("doc_id as id", "xxhash64(text) as node", "0L as f0", "0L as f1")
+
+    monkeypatch.setattr(simhash, "fingerprints", fingerprints)
+    line = " ".join(f"line{k}" for k in range(11))
+    texts = [" ".join([*(f"{c}{k}" for k in range(24)), *[line] * 100]) for c in "ab"]
+    assert kept(spark, texts) == expected(texts) == [0, 1]
