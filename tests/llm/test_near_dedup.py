@@ -54,3 +54,32 @@ def test_equal_fingerprints_alone_join_nothing(spark, monkeypatch):
     line = " ".join(f"line{k}" for k in range(11))
     texts = [" ".join([*(f"{c}{k}" for k in range(24)), *[line] * 100]) for c in "ab"]
     assert kept(spark, texts) == expected(texts) == [0, 1]
+
+
+def test_short_texts_and_texts_just_alike_are_all_found(spark):
+    rng = np.random.default_rng(4)
+    texts = [None, "", " \n"]
+    for k in range(40):  # 4 of 5 shingles shared
+        words = [f"w{n}" for n in rng.integers(0, 1 << 40, 8)]
+        texts += [" ".join(words), " ".join([*words, "more"])]
+    for k in range(40):  # 9 to 13 of 96 shingles changed: similarity 0.76 to 0.83
+        words = [f"v{n}" for n in rng.integers(0, 1 << 40, 100)]
+        cut = int(rng.integers(9, 14))
+        texts += [" ".join(words), " ".join([*words[:-cut], *(f"u{n}" for n in rng.integers(0, 1 << 40, cut))])]
+    texts += ["one", "One", "two words", "TWO  words", "two words more"]
+    assert kept(spark, texts) == expected(texts)
+
+
+def test_split_shingle_buckets_give_the_same_pairs(spark):
+    rng = np.random.default_rng(5)
+    base = [f"w{n}" for n in range(60)]
+    texts = []
+    for _ in range(40):
+        words = list(base)
+        for at in rng.integers(0, 60, 1 + len(texts) % 2):
+            words[at] = f"x{rng.integers(0, 6)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(dict.fromkeys(texts))), "doc_id long, text string")
+    none = spark.createDataFrame([], "node long, root long")
+    whole, parts = ({(r.a, r.b) for r in simhash.shared_links(docs, none, block_rows=n).collect()} for n in (2048, 7))
+    assert whole == parts and len(whole) > 100
