@@ -202,10 +202,14 @@ def parsed(data: bytes) -> Iterator[tuple]:
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of the files in the folder's manifest, with payloads (null for revisits)."""
+    """The records of all files in the folder's manifest, with payloads (null for revisits); a missing file is an error."""
     manifest = spark.read.parquet(f"{folder}/_manifest")
     files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.warc.gz").load(folder)
-    files = files.select(F.substring_index("path", "/", -1).alias("file"), "content").join(manifest.select("file", "bytes", "sha1"), "file")
+    files = files.withColumn("file", F.substring_index("path", "/", -1))
+    # a listing alone: files lost after it fail the scan itself
+    if lost := [r["file"] for r in manifest.join(files.select("file"), "file", "left_anti").select("file").limit(5).collect()]:
+        raise ValueError(f"files of the manifest are missing: {', '.join(lost)}")
+    files = files.select("file", "content").join(manifest.select("file", "bytes", "sha1"), "file")
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
