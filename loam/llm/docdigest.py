@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.llm.shared import small_batches, written
+from loam.llm.shared import small, written
 
 BUCKETS = 256
 #: Triplets counted at once in a very long text.
@@ -64,10 +64,9 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(id, fingerprint): one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([digest(x.as_py() or b"") for x in batch.column(1)], pa.string())], ["id", "fingerprint"])
 
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fingerprint string")
 
@@ -95,7 +94,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
     bare = lambda d, t, p, edge: (d, len(t), None, p, None, None, None, edge, t)
     last, out = None, []
-    for batch in batches:
+    for batch in small(batches):
         for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             text = text or ""
             own = digest(text.encode())
@@ -116,7 +115,6 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Only a partition's first and last document leave it, to be paired with their neighbours'.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # the hash only spreads an id that many rows have; rows of equal id and text are alike
     rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
@@ -130,7 +128,7 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = ends.select("doc_id", "text", "fingerprint", "edge", after("text").alias("next_text"), after("fingerprint").alias("next_print")).filter("edge = 1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = [compared(d, t, p, nt, np_) for d, t, p, nt, np_ in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], _NAMES)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.llm.shared import small_batches, written
+from loam.llm.shared import small, written
 from loam.llm.urlfilter import host_of
 
 #: Winning paths kept for each host, by votes. Other pages' texts come from their own best container.
@@ -238,7 +238,7 @@ def page_votes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     """(host, path, votes): how many pages of a host have their best container at the path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             pages = [Page(x or "") for x in batch.column(1).to_pylist()]
             paths = [p.best().path if p.blocks else None for p in pages]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], ["host", "path"])
@@ -256,13 +256,12 @@ def winning_paths(votes: DataFrame, paths: int = PATHS) -> DataFrame:
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text): the main text of each page."""
-    small_batches(pages.sparkSession)
     won = written(winning_paths(page_votes(pages, url_col, html_col)), "host-paths")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     rows = rows.join(won, "host", "left").select("page_id", "url", "html", "paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [Page(html or "").text(paths or []) for html, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.llm.shared import small_batches
+from loam.llm.shared import small
 
 #: The bound of the sample: texts of each language, and characters of each.
 SAMPLE_TEXTS, PIECE_CHARS = 128, 1000
@@ -92,7 +92,6 @@ def identified(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", tex
 
     accepted is false for undetermined texts and for scores under the margin.
     """
-    small_batches(docs.sparkSession)
     predict = predictor(learned_dictionaries(labelled, id_col, text_col, lang_col))
     rows = docs.select(F.struct("*").alias("row"), predict(F.col(text_col)).alias("p"))
     return rows.select("row", F.col("p.lang").alias("lang"), F.col("p.score").alias("score"), ((F.col("p.lang") != UNDETERMINED) & (F.col("p.score") >= margin)).alias("accepted"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loam.llm.shared import small_batches
+from loam.llm.shared import small
 
 SPACE = "▁"
 CACHE_CHUNKS = 500_000
@@ -215,12 +215,11 @@ class Segmenter:
 
 def encoded(docs: DataFrame, model: PieceModel, text_col: str = "text") -> DataFrame:
     """(row, ids): each row of docs as a struct with the ids of its text."""
-    small_batches(docs.sparkSession)
     segmenter = model.prepared()
     kind = docs.select(F.struct("*").alias("row")).schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             ids = segmenter.encode(batch.column(1).to_pylist())
             sizes = np.array([0 if x is None else len(x) for x in ids], np.int32)
             flat = np.fromiter((i for x in ids if x for i in x), np.int32, int(sizes.sum()))

@@ -1,28 +1,26 @@
-"""The folder that driver and executors share, and written tables that cut lineage in it."""
+"""The folder that driver and executors share, written tables that cut lineage in it, and small Arrow batches."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: One folder per application, for sessions that name no spark.checkpoint.dir (tests).
-_OWN: dict[str, str] = {}
-
-#: Records an Arrow batch holds at most, so that batches of long texts stay within a worker's memory.
+#: Rows of whole texts that a Python worker turns into objects at once. Spark bounds an Arrow batch in bytes
+#: (spark.sql.execution.arrow.maxBytesPerBatch), which holds for long texts.
 ARROW_RECORDS = 1000
+#: Spark's setting to delete the shuffle files of an SQL execution at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder named by spark.checkpoint.dir; nothing else is known to be seen by all executors."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-loam-")
-    return _OWN[app]
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -30,24 +28,32 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, and safe against lost executors."""
+    """df as a Parquet table in the shared folder: computed once, and safe against lost executors.
+
+    Once it is written, the shuffles that made it are deleted.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.loam_path = path
     return out
 
 
-def removed(df: DataFrame) -> None:
-    """Delete a table made by written() that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.loam_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def removed(*tables: DataFrame) -> None:
+    """Delete tables made by written() that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.loam_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lower the records per Arrow batch for whole texts; a smaller setting of the user's stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > ARROW_RECORDS:
-        spark.conf.set(key, str(ARROW_RECORDS))
+def small(batches: Iterator[pa.RecordBatch], rows: int = ARROW_RECORDS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most so many rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -2,19 +2,19 @@
 
 1. A fingerprint per text: every bit is the majority of that bit over the XXH64 hashes of the text's word
    shingles. Lanes of 64 bits after the first take the majority over the hashes, mixed again.
-2. Texts meet in buckets: a table for each of several bit masks, keyed by the fingerprint under the mask.
-   With block_masks(), one for each pair of the radius + 2 blocks that 64 bits are cut into, no link within the
-   radius is lost, since two blocks are always equal. With sampled_masks() wider fingerprints are searched at
-   larger radii, and a link is found with a probability that is stated there. No bucket is capped.
+2. Texts meet in buckets. For radius r, 64 bits are cut into r + 2 blocks, and a table is keyed by each pair of
+   blocks: two of them are equal in every pair within the radius, so no link is lost. No bucket is capped.
+   (neardup.py brings texts together by rare shingles instead.)
 3. A bucket is compared in vertical bit planes: plane k holds bit k of 64 fingerprints a word. Differing
    bits are summed by carry-save counters for 64 pairs at once, and a block of pairs is abandoned once all
    of them exceed the radius. Buckets beyond BLOCK_ROWS are cut into blocks and compared as block pairs in
    separate tasks; a task holds two blocks at most.
-4. The links' connected components are classes; their name is the smallest id in them.
+4. The links' connected components are classes; their name is the smallest id in them. Each bucket gives a spanning
+   forest of its links, as every link counts here and components need no more.
 
-Null texts and texts without words have fingerprint 0 and link like any other. Rows with a null id take part;
-a class of null ids alone has a null name. Repeated rows stay. An empty table gives an empty one. Only the
-named columns are read; others may have any name.
+Null texts and texts without words have fingerprint 0 and link like any other. Whole texts vote, in parts where they
+are very long. Rows with a null id take part; a class of null ids alone has a null name. Repeated rows stay. An empty
+table gives an empty one. Only the named columns are read; others may have any name.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loam.llm.components import connected_components
-from loam.llm.shared import removed, small_batches, written
+from loam.llm.shared import removed, small, written
 
 #: Fingerprints in a block of a split bucket.
 BLOCK_ROWS = 2048
@@ -40,13 +40,6 @@ BUFFER_ROWS = 32768
 #: Hashes voted on at once in a very long text.
 VOTE_ROWS = 65536
 
-#: Of 128 bits: the radii of near_dedup.
-RADII = (6, 13, 20, 26)
-#: Links that a set of copies puts to the exact test in the first round; four times as many in each further one.
-ASKED = 3
-#: Shingles whose counts order the others by rarity; it changes how many pairs are tested, not which are found.
-COMMON = 200_000
-
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -84,22 +77,16 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, lanes: int = 1, once: bool = False) -> DataFrame:
-    """(id, node, f0, f1...): one row per document; node is a hash of the text, f* are the lanes as signed longs.
-
-    With `once`, a shingle votes once however often the text repeats it.
-    """
-    names = [f"f{k}" for k in range(lanes)]
-    voting = lambda x: np.unique(shingle_hashes(x, words)) if once else shingle_hashes(x, words)
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
+    """(id, fp): one row per document, the fingerprint's 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = np.array([fingerprint(voting(x.as_py()), lanes) for x in batch.column(2)], np.uint64).reshape(-1, lanes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in fps.T)], ["id", "node", *names])
+        for batch in small(batches):
+            found = np.array([fingerprint(shingle_hashes(x.as_py(), words))[0] for x in batch.column(1)], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
 
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, node long, " + ", ".join(f"{n} long" for n in names))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp long")
 
 
 def block_masks(radius: int) -> list[tuple[int, ...]]:
@@ -109,20 +96,6 @@ def block_masks(radius: int) -> list[tuple[int, ...]]:
     return [(x | y,) for x, y in combinations(blocks, 2)]
 
 
-def sampled_masks(lanes: int = 2, tables: int = 64, bits: int = 18, seed: int = 1) -> list[tuple[int, ...]]:
-    """Masks of `bits` random bits over all lanes; the same for the same arguments.
-
-    Two fingerprints that differ in a share x of their bits miss each other with probability about
-    (1 - (1 - x)**bits)**tables: 3 % at x = 0.152 (shingle sets of Jaccard similarity 0.8), 0.1 % at 0.104 (0.9).
-    More distinct texts than some hundred millions ask for more bits, and so for more tables.
-    """
-    rng, out = np.random.default_rng(seed), []
-    for _ in range(tables):
-        picked = rng.choice(64 * lanes, bits, replace=False).tolist()
-        out.append(tuple(sum(1 << (b - 64 * lane) for b in picked if b // 64 == lane) for lane in range(lanes)))
-    return out
-
-
 def bit_planes(fps: np.ndarray) -> np.ndarray:
     """Rows of words: bit r of word w in plane k is bit k of fingerprint 64 * w + r. fps: a row of lanes each."""
     padded = np.zeros((-(-len(fps) // 64) * 64, fps.shape[1]), "<u8")
@@ -228,49 +201,38 @@ def _near(fps: np.ndarray, planes: np.ndarray, radius: int, strip: int = 128) ->
     return near
 
 
-def long_run_links(fps: np.ndarray, radii: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs that connect what is linked in one run of any length: a spanning forest of true links.
-
-    Radii rise; each adds only links between sets that the smaller ones left apart, so links are short.
-    """
-    n, planes = len(fps), bit_planes(fps)
-    root = np.arange(n)
+def long_run_links(fps: np.ndarray, radius: int, kin: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs that connect what is linked in one run of any length: a spanning forest, by breadth-first search."""
+    n, near = len(fps), _near(fps, bit_planes(fps), radius)
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for radius in radii:
-        near = _near(fps, planes, radius)
-        seen = np.zeros(n, bool)
-        for seed in np.flatnonzero(np.bitwise_count(near).sum(1) > 1):
-            if seen[seed]:
-                continue
-            seen[seed], front = True, [seed]
-            while front:
-                k = front.pop()
-                found = _set_bits(near[k], n)
-                found = found[~seen[found]]
-                seen[found] = True
-                front += found.tolist()
-                apart = found[root[found] != root[k]]
-                apart = apart[np.unique(root[apart], return_index=True)[1]]
-                for j in apart:
-                    left[0], right[0] = np.append(left[0], k), np.append(right[0], j)
-                    root[root == root[j]] = root[k]
-    return left[0], right[0]
-
-
-def shortest_forest(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """The places of the links (a, b, d) over n rows that make up a minimum spanning forest (by Boruvka's rounds)."""
-    order = np.argsort(d, kind="stable")
-    a, b, place = a[order], b[order], np.arange(len(order))
-    root, chosen = np.arange(n), []
+    seen = np.zeros(n, bool)
+    for seed in np.flatnonzero(np.bitwise_count(near).sum(1) > 1):
+        if seen[seed]:
+            continue
+        seen[seed], front = True, [seed]
+        while front:
+            k = front.pop()
+            found = _set_bits(near[k], n)
+            found = found[~seen[found] if kin is None else ~seen[found] & (kin[found] != kin[k])]
+            seen[found] = True
+            front += found.tolist()
+            left.append(np.full(len(found), k))
+            right.append(found)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def spanning_forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The places of links (a, b) over n rows that make up a spanning forest (by Boruvka's rounds)."""
+    place, root, chosen = np.arange(len(a)), np.arange(n), []
     while len(place):
         x, y = root[a[place]], root[b[place]]
         place, x, y = place[x != y], x[x != y], y[x != y]
-        first = np.full(n, len(order))
+        first = np.full(n, len(a))
         np.minimum.at(first, x, place)
         np.minimum.at(first, y, place)
-        best = np.unique(first[first < len(order)])
+        best = np.unique(first[first < len(a)])
         chosen.append(best)
-        # each set hangs on the other end of its shortest link; of two that chose the same link the smaller stays
+        # each set hangs on the other end of its first link; of two that chose the same link the smaller stays
         up = np.arange(n)
         ends = np.stack([root[a[best]], root[b[best]]])
         for own, other in (ends, ends[::-1]):
@@ -281,41 +243,58 @@ def shortest_forest(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.n
         while (up[up] != up).any():
             up = up[up]
         root = up[root]
-    return order[np.concatenate(chosen)] if chosen else np.empty(0, np.int64)
+    return np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+
+
+def run_links(fps: np.ndarray, lengths: np.ndarray, radius: int, kin: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs that connect what is linked within consecutive runs; with kin, over links between different ones alone."""
+    return _in_runs(fps, lengths, radius, kin, True)
 
 
-def run_links(fps: np.ndarray, lengths: np.ndarray, radii: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+def run_pairs(fps: np.ndarray, lengths: np.ndarray, radius: int, kin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All row pairs of different kin linked within consecutive runs."""
+    return _in_runs(fps, lengths, radius, kin, False)
+
+
+def _in_runs(fps: np.ndarray, lengths: np.ndarray, radius: int, kin: np.ndarray | None, forest: bool) -> tuple[np.ndarray, np.ndarray]:
     starts, left, right = np.cumsum(lengths) - lengths, [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     short = (lengths > 1) & (lengths <= SHORT_RUN)
     if short.any():
         rows = np.flatnonzero(np.repeat(short, lengths))
-        a, b = short_run_links(fps[rows], lengths[short], radii[-1])
-        kept = shortest_forest(len(rows), a, b, np.bitwise_count(fps[rows[a]] ^ fps[rows[b]]).sum(1))
-        a, b = a[kept], b[kept]
-        left.append(rows[a])
-        right.append(rows[b])
+        a, b = (rows[x] for x in short_run_links(fps[rows], lengths[short], radius))
+        if kin is not None:
+            a, b = a[kin[a] != kin[b]], b[kin[a] != kin[b]]
+        if forest:
+            kept = spanning_forest(len(fps), a, b)
+            a, b = a[kept], b[kept]
+        left.append(a)
+        right.append(b)
     for k in np.flatnonzero(lengths > SHORT_RUN):
-        a, b = long_run_links(fps[starts[k] : starts[k] + lengths[k]], radii)
+        at = slice(starts[k], starts[k] + lengths[k])
+        own = None if kin is None else kin[at]
+        if forest:
+            a, b = long_run_links(fps[at], radius, own)
+        else:
+            near = _near(fps[at], bit_planes(fps[at]), radius)
+            found = [(r, x[(x > r) & (own[x] != own[r])]) for r, x in enumerate(_set_bits(w, lengths[k]) for w in near)]
+            a, b = np.repeat([r for r, _ in found], [len(x) for _, x in found]).astype(np.int64), np.concatenate([x for _, x in found])
         left.append(a + starts[k])
         right.append(b + starts[k])
     return np.concatenate(left), np.concatenate(right)
 
 
-def _by_runs(pairs):
-    """Links of the runs of equal (bucket, i, j), which arrive one after the other; then node and what else pairs() reads.
+def compare(radius: int, kin: bool = False):
+    """(a, b) of rows (bucket, i, j, node, [kin,] lanes...), which arrive sorted: a spanning forest of each run's links."""
 
-    pairs(rest, lengths): the row pairs linked within consecutive runs of these lengths, and their distances.
-    """
+    def links(rows: np.ndarray) -> pa.RecordBatch:
+        edge = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(axis=0)) + 1
+        lengths = np.diff(np.concatenate(([0], edge, [rows.shape[1]])))
+        fps = np.ascontiguousarray(rows[5 if kin else 4 :].T).view(np.uint64)
+        a, b = run_links(fps, lengths, radius, rows[4] if kin else None)
+        return pa.RecordBatch.from_arrays([pa.array(rows[3][a]), pa.array(rows[3][b])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-
-        def links(rows: np.ndarray) -> pa.RecordBatch:
-            edge = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(axis=0)) + 1
-            lengths = np.diff(np.concatenate(([0], edge, [rows.shape[1]])))
-            a, b, d = pairs(rows[4:], lengths)
-            return pa.RecordBatch.from_arrays([pa.array(rows[3][a]), pa.array(rows[3][b]), pa.array(d)], ["a", "b", "d"])
-
         for batch in batches:
             held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
             if sum(x.shape[1] for x in held) >= BUFFER_ROWS:
@@ -331,223 +310,46 @@ def _by_runs(pairs):
     return run
 
 
-def _compare(radii: tuple[int, ...]):
-    """Links of the runs of equal (bucket, i, j) by their lanes."""
-
-    def pairs(lanes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        fps = np.ascontiguousarray(lanes.T).view(np.uint64)
-        a, b = run_links(fps, lengths, radii)
-        return a, b, np.bitwise_count(fps[a] ^ fps[b]).sum(1, dtype=np.int64)
-
-    return _by_runs(pairs)
-
+def tiles(rows: DataFrame, names: list[str]) -> DataFrame:
+    """(bucket, i, j and the names), sorted: each bucket, or each pair of its blocks, in one run.
 
-def _tiles(rows: DataFrame, names: list[str]) -> DataFrame:
-    """rows (bucket, n, node and the names), n blocks a bucket: each bucket, or each pair of its blocks, in one run."""
-    own, last = F.pmod(F.xxhash64("node"), F.coalesce("n", F.lit(1))).cast("int"), F.coalesce("n", F.lit(1)) - 1
-    tiles = (
-        rows.withColumn("own", own)
-        .withColumn("other", F.explode(F.when(last < 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), last), lambda x: x != F.col("own")))))
-        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", *names)
-    )
-    return tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    rows: bucket, n blocks of it (null: one), the row's own block, the names. Rows may have pure_from and pure_to:
+    blocks from the one to before the other need no comparison with them.
+    """
+    every = F.sequence(F.lit(0), F.greatest(F.col("n"), F.lit(1)) - 1)
+    if "pure_from" in rows.columns:
+        every = F.filter(every, lambda x: (x < F.col("pure_from")) | (x >= F.col("pure_to")))
+    other = F.explode(F.when(F.coalesce("n", F.lit(1)) <= 1, F.array(F.lit(0))).otherwise(every))
+    met = rows.withColumn("own", F.coalesce("own", F.lit(0))).withColumn("other", other)
+    return met.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *names).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
 
-def fingerprint_links(nodes: DataFrame, masks: list[tuple[int, ...]], radii: tuple[int, ...], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(a, b, d): nodes linked, with their distance. nodes: node and f0, f1..., all long, one row per node.
+def fingerprint_links(nodes: DataFrame, masks: list[tuple[int, ...]], radius: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b): nodes linked, enough to connect all that are within the radius and meet under a mask.
 
-    The links connect all pairs within the last radius that meet under a mask: a spanning forest of each bucket's
-    links. The radii before it only shorten the links of large buckets; those of small ones are the shortest.
+    nodes: node and f0, f1..., all long, one row per node.
     """
     lanes = [c for c in nodes.columns if c != "node"]
     signed = lambda m: F.lit(m - (1 << 64) if m >> 63 else m).cast("long")
     keys = F.array(*(F.xxhash64(F.lit(t), *(F.col(f).bitwiseAND(signed(m)) for f, m in zip(lanes, mask, strict=True))) for t, mask in enumerate(masks)))
     rows = nodes.select(F.explode(keys).alias("bucket"), "node", *lanes)
     hot = written(rows.groupBy("bucket").count().filter(F.col("count") > block_rows).select("bucket", F.ceil(F.col("count") / block_rows).cast("int").alias("n")), "hot-buckets")
-    return _tiles(rows.join(hot, "bucket", "left"), lanes).mapInArrow(_compare(radii), "a long, b long, d long")
+    rows = rows.join(hot, "bucket", "left").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+    return tiles(rows, ["node", *lanes]).mapInArrow(compare(radius), "a long, b long")
 
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 4) -> DataFrame:
     """(id, fp, component_id) for every row; component_id is the smallest id reachable over links of 64-bit fingerprints."""
-    own = written(fingerprints(docs, id_col, text_col, words).select("id", F.col("f0").alias("fp")), "fingerprints")
+    own = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = written(own.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    links = fingerprint_links(nodes.select(F.col("fp").alias("node"), F.col("fp").alias("f0")), block_masks(radius), (radius,))
-    roots = written(connected_components(links.select("a", "b")), "roots")
+    links = fingerprint_links(nodes.select(F.col("fp").alias("node"), F.col("fp").alias("f0")), block_masks(radius), radius)
+    roots = written(connected_components(links), "roots")
     linked = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = written(linked.groupBy("root").agg(F.min("least").alias("component_id")), "class-names")
     classes = written(linked.join(names, "root").select("fp", "component_id"), "classes")
+    removed(nodes, roots, names)
     return own.join(classes, "fp").select("id", "fp", "component_id")
 
 
-def _similar(words: int, least: float):
-    """The pairs (a, b) of (a, b, text of a, text of b) whose shingle sets have a Jaccard similarity of at least `least`."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = (np.unique(shingle_hashes(t.as_py(), words)) for t in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep[k] = shared >= least * (len(x) + len(y) - shared)
-            yield batch.filter(pa.array(keep)).select([0, 1])
-
-    return run
-
-
-def common_shingles(docs: DataFrame, text_col: str = "text", words: int = 5, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in several texts, ascending, with counts: those seen most often of all that repeat within VOTE_ROWS
-    or more shingles read one after the other. They only order shingles by rarity, so none need be found."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            held += [np.unique(shingle_hashes(x.as_py(), words)) for x in batch.column(0)]
-            if sum(map(len, held)) >= 16 * VOTE_ROWS:
-                yield counted(held)
-                held = []
-        if held:
-            yield counted(held)
-
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        found, count = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(found[count > 1].view(np.int64)), pa.array(count[count > 1])], ["shingle", "n"])
-
-    rows = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "shingle long, n long")
-    top = rows.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "shingle").limit(most).collect()
-    found, count = np.array([r["shingle"] for r in top], np.int64).view(np.uint64), np.array([r["n"] for r in top], np.int64)
-    order = np.argsort(found)
-    return found[order], count[order]
-
-
-def rare_first(found: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """A shingle set, least common first, in an order that is the same for all texts."""
-    names, counts = common
-    if not len(names):
-        return np.sort(found)
-    at = np.minimum(np.searchsorted(names, found), len(names) - 1)
-    return found[np.lexsort((found, np.where(names[at] == found, counts[at], 0)))]
-
-
-def _prefixes(words: int, similarity: float, common: tuple[np.ndarray, np.ndarray]):
-    """(node, size, shingles): a text's shingles that one of any text alike must share, with the size of its set.
-
-    Of two sets alike both hold at least `similarity` of either, so among all but that many of the rarest of each,
-    and one more, one is shared. Texts without words share the shingle 0.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            fresh = []
-            for k, node in enumerate(batch.column(0).to_pylist()):
-                if node not in seen:
-                    seen.add(node)
-                    fresh.append(k)
-            sets = [np.unique(shingle_hashes(batch.column(1)[k].as_py(), words)) for k in fresh]
-            kept = [rare_first(x, common)[: len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1] if len(x) else np.zeros(1, np.uint64) for x in sets]
-            names = batch.column(0).take(pa.array(fresh, pa.int64()))
-            yield pa.RecordBatch.from_arrays([names, pa.array([len(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in kept], pa.list_(pa.int64()))], ["node", "size", "shingles"])
-
-    return run
-
-
-def _sharing(similarity: float):
-    """Pairs of different sets of copies in runs of equal (bucket, i, j) whose sizes and places let them be alike."""
-
-    def pairs(rest: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.argsort(-lengths, kind="stable")
-        starts, sizes = np.cumsum(lengths) - lengths, lengths[order]
-        rows = np.repeat(starts[order] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        run, (kin, size, place) = np.repeat(np.arange(len(sizes)), sizes), rest[:, rows]
-        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for d in range(1, int(sizes[0])):
-            n = int(sizes[sizes > d].sum())
-            x, y = np.arange(n - d), np.arange(d, n)
-            keep = (run[x] == run[y]) & (kin[x] != kin[y])
-            x, y = x[keep], y[keep]
-            # nothing before a first shared shingle is shared, so this many may be
-            shared = 1 + np.minimum(size[x] - place[x] - 1, size[y] - place[y] - 1)
-            shared = np.where(size[x] + size[y] == 0, 0, np.minimum(shared, np.minimum(size[x], size[y])))
-            keep = shared >= similarity * (size[x] + size[y] - shared) - 1e-6
-            left.append(rows[x[keep]])
-            right.append(rows[y[keep]])
-        a, b = np.concatenate(left), np.concatenate(right)
-        return a, b, np.ones(len(a), np.int64)
-
-    return _by_runs(pairs)
-
-
-def shared_links(docs: DataFrame, roots: DataFrame, text_col: str = "text", words: int = 5, similarity: float = 0.8, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(a, b, d): every pair of texts alike that roots (node, root) leave apart, and others; d is less the more they share.
-
-    By prefix filtering, without loss: each text meets those that share one of its rarest shingles.
-    """
-    common = common_shingles(docs, text_col, words)
-    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text"))
-    found = texts.mapInArrow(_prefixes(words, similarity, common), "node long, size long, shingles array<long>")
-    found = written(found.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("kin"), "size", "shingles"), "prefixes")
-    rows = found.select("node", "kin", "size", F.posexplode("shingles").alias("place", "bucket"))
-    met = rows.groupBy("bucket").agg(F.min("kin").alias("low"), F.max("kin").alias("high"), F.count("*").alias("c")).filter("low <> high")
-    met = written(met.select("bucket", F.ceil(F.col("c") / block_rows).cast("int").alias("n")), "shared-shingles")
-    links = _tiles(rows.join(met, "bucket"), ["kin", "size", "place"]).mapInArrow(_sharing(similarity), "a long, b long, d long")
-    links = links.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg((-F.count("*")).alias("d"))
-    links = written(links, "shared-links")
-    removed(found)
-    return links
-
-
-def _tested(docs: DataFrame, links: DataFrame, roots: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame:
-    """roots with the sets joined whose texts are alike by one of the links; none between two sets is left untested."""
-    left, quota = links, ASKED
-    # the texts that a test may need are gathered once
-    ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).cast("binary").alias("text")).join(ends, "node", "left_semi")
-    texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "linked-texts")
-    while True:
-        to = lambda end, r=roots: r.select(F.col("node").alias(end), F.col("root").alias(f"{end}_set"))
-        apart = left.join(to("a"), "a", "left").join(to("b"), "b", "left").select("a", "b", "d", F.coalesce("a_set", "a").alias("x"), F.coalesce("b_set", "b").alias("y"))
-        left = written(apart.filter("x <> y"), "open-links")
-        if left.isEmpty():
-            break
-        # the shortest open links of each set are put to the exact test; the others wait for what comes of it
-        first = lambda end: F.row_number().over(Window.partitionBy(end).orderBy("d", "a", "b"))
-        asked = [left.withColumn("k", first(end)).filter(F.col("k") <= quota).select("a", "b") for end in ("x", "y")]
-        asked = written(asked[0].union(asked[1]).distinct(), "asked")
-        both = asked.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
-        alike = both.mapInArrow(_similar(words, similarity), "a long, b long")
-        roots = written(connected_components(alike.union(roots.select("node", "root"))), "roots")
-        left = left.join(asked, ["a", "b"], "left_anti").select("a", "b", "d")
-        quota *= 4
-    removed(texts)
-    return roots
-
-
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radii: tuple[int, ...] = RADII, masks: list | None = None) -> DataFrame:
-    """The rows of docs without near copies: one document of each group stays, with all its columns.
-
-    Equal texts are one node. Nodes link if the exact Jaccard similarity of the sets of their `words`-word
-    shingles is at least `similarity`; equal fingerprints don't suffice. Of each group of linked texts the smallest
-    id stays (nulls last; one of its rows if it is repeated). Texts without words are equal to each other. Fingerprints under the masks join most copies first; then each text is held
-    against all of other sets that share a shingle as rare as a text alike must share, so no pair is missed.
-    """
-    masks = masks or sampled_masks(lanes=2)
-    lanes = ["f0", "f1"]
-    keyed = fingerprints(docs, id_col, text_col, words, lanes=2, once=True)
-    rank = F.struct(F.col("id").isNull().alias("missing"), "id")
-    nodes = written(keyed.groupBy("node").agg(*(F.min(f).alias(f) for f in lanes), F.min(rank).alias("rank")), "texts")
-    links = fingerprint_links(nodes.select("node", *lanes), masks, radii)
-    links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d").distinct(), "links")
-    none = docs.sparkSession.createDataFrame([], "node long, root long")
-    roots = _tested(docs, links, none, text_col, words, similarity)
-    # a bucket's forest lacks links, and the masks miss some: what is left comes from shared shingles
-    roots = _tested(docs, shared_links(docs, roots, text_col, words, similarity), roots, text_col, words, similarity)
-    classed = nodes.join(roots, "node", "left").select("node", "rank", F.coalesce("root", "node").alias("class"))
-    stay = written(classed.groupBy("class").agg(F.min(F.struct("rank", "node")).alias("s")).select(F.col("s.rank.id").alias("id"), F.col("s.node").alias("node")), "staying")
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own"), F.xxhash64(text_col).alias("node"))
-    found = rows.join(stay.withColumnRenamed("node", "n"), (F.col("node") == F.col("n")) & F.col("own").eqNullSafe(F.col("id")))
-    once = found.withColumn("k", F.row_number().over(Window.partitionBy("node", "own").orderBy(F.lit(1))))
-    return once.filter("k = 1").select("row.*")
-
-
 def hex_fingerprint(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

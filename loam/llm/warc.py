@@ -32,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm.shared import small_batches, written
+from loam.llm.shared import small, written
 
 SHARD_BYTES, ROLL_BYTES, BINS = 64 << 20, 16 << 20, 2048
 REVISIT_BYTES = 1000
@@ -117,7 +117,7 @@ def _write(folder: str, roll_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, done = None, []
-        for batch in batches:
+        for batch in small(batches):
             for shard, page_id, url, payload, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if roll is None or roll.shard != shard:
                     done += roll.close() if roll else []
@@ -156,7 +156,6 @@ def shards_of(rows: DataFrame, shard_bytes: int = SHARD_BYTES, bins: int = BINS)
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """Write the archives of all pages below the folder; returns the manifest, which is written there last."""
     spark = pages.sparkSession
-    small_batches(spark)
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("digest"))
     sizes = rows.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "digest")
@@ -215,7 +214,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             for content, size, sha1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if len(content) != size or hashlib.sha1(content).hexdigest() != sha1:
                     raise ValueError("a file differs from its manifest")

@@ -51,21 +51,20 @@ def test_short_runs_against_brute_force(radius):
     assert {(min(p), max(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} == expected and len(a) == len(expected)
 
 
-def test_shortest_forest_against_kruskal():
+def test_spanning_forest_connects_what_all_links_do():
     rng = np.random.default_rng(5)
     for n, m in ((1, 0), (2, 1), (30, 25), (60, 400)):
-        a, b, d = rng.integers(0, n, m), rng.integers(0, n, m), rng.integers(0, 5, m)
-        names, total, size = list(range(n)), 0, 0
-        for k in np.argsort(d, kind="stable"):
-            if names[a[k]] != names[b[k]]:
-                names = [names[a[k]] if x == names[b[k]] else x for x in names]
-                total, size = total + d[k], size + 1
-        kept = simhash.shortest_forest(n, a, b, d)
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        names, size = list(range(n)), 0
+        for x, y in zip(a, b, strict=True):
+            if names[x] != names[y]:
+                names, size = [names[x] if z == names[y] else z for z in names], size + 1
         again = list(range(n))
+        kept = simhash.spanning_forest(n, a, b)
         for k in kept:
             assert again[a[k]] != again[b[k]]
             again = [again[a[k]] if x == again[b[k]] else x for x in again]
-        assert len(kept) == size and d[kept].sum() == total
+        assert len(kept) == size
 
 
 @pytest.mark.parametrize("lanes", [1, 2])
@@ -75,7 +74,7 @@ def test_long_run_connects_what_brute_force_does(lanes):
     for row in fps:
         for k in rng.choice(64, rng.integers(0, 5), replace=False):
             row[k % lanes] ^= np.uint64(1) << np.uint64(k)
-    a, b = simhash.long_run_links(fps, (2, 5))
+    a, b = simhash.long_run_links(fps, 5)
     distance = np.bitwise_count(fps[:, None] ^ fps[None]).sum(2)
     assert (distance[a, b] <= 5).all()
     names = list(range(len(fps)))
@@ -85,6 +84,29 @@ def test_long_run_connects_what_brute_force_does(lanes):
     assert len({(x, y) for x, y in zip(names, again, strict=True)}) == len(set(names)) == len(set(again))
 
 
+@pytest.mark.parametrize("sizes", [[2, 60, 3], [2, 200, 3, 70]])
+def test_links_between_different_kin(sizes):
+    rng = np.random.default_rng(7)
+    lengths = np.array(sizes)
+    fps = np.repeat(rng.integers(0, 2**63, (len(sizes), 2), dtype=np.uint64), lengths, axis=0)
+    for row in fps:
+        for k in rng.choice(128, rng.integers(0, 12), replace=False):
+            row[k // 64] ^= np.uint64(1) << np.uint64(k % 64)
+    kin, run = rng.integers(0, 5, len(fps)), np.repeat(np.arange(len(sizes)), lengths)
+    near = (np.bitwise_count(fps[:, None] ^ fps[None]).sum(2) <= 9) & (run[:, None] == run[None]) & (kin[:, None] != kin[None])
+    a, b = simhash.run_pairs(fps, lengths, 9, kin)
+    assert sorted((min(p), max(p)) for p in zip(a.tolist(), b.tolist(), strict=True)) == [(i, j) for i, j in np.argwhere(near).tolist() if i < j]
+    names, again = list(range(len(fps))), list(range(len(fps)))
+    a, b = simhash.run_links(fps, lengths, 9, kin)
+    assert near[a, b].all()
+    for i, j in zip(a, b, strict=True):
+        assert names[i] != names[j]
+        names = [names[i] if n == names[j] else n for n in names]
+    for i, j in np.argwhere(near):
+        again = [again[i] if n == again[j] else n for n in again]
+    assert len(set(zip(names, again, strict=True))) == len(set(names)) == len(set(again))
+
+
 def test_block_masks_lose_no_link():
     rng = np.random.default_rng(2)
     for _ in range(200):
@@ -97,7 +119,7 @@ def test_split_buckets_give_the_same_links(spark):
     values = sorted({int(7 ^ sum(1 << int(k) for k in rng.choice(60, rng.integers(0, 6), replace=False))) for _ in range(120)})
     nodes = spark.createDataFrame([(v, v) for v in values], "node long, f0 long")
     for block_rows in (10, 2048):
-        links = simhash.fingerprint_links(nodes, simhash.block_masks(4), (4,), block_rows).select("a", "b")
+        links = simhash.fingerprint_links(nodes, simhash.block_masks(4), 4, block_rows)
         roots = {r.node: r.root for r in connected_components(links).collect()}
         assert [roots.get(v, v) for v in values] == [values[k] for k in brute_classes(values, 4)]
 
@@ -117,18 +139,6 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_near_dedup_keeps_clean_rows_and_one_of_each_group(spark):
-    words = [f"w{k}" for k in range(400)]
-    near = words[:200] + ["changed"] + words[201:]
-    other = [f"x{k}" for k in range(300)] + words[:60]  # shares a passage only
-    rows = [(4, " ".join(words)), (2, " ".join(near)), (8, " ".join(words)), (1, " ".join(other)), (6, None), (5, ""), (9, "one"), (9, "one"), (None, "two words"), (None, "two words")]
-    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, node int").withColumns({c: F.lit("x") for c in ("id", "row", "k", "n", "own", "f0")})
-    out = simhash.near_dedup(docs)
-    assert out.columns == docs.columns
-    assert sorted((r.doc_id for r in out.collect()), key=str) == sorted([2, 1, 5, 9, None], key=str)
-    assert simhash.near_dedup(docs.limit(0)).count() == 0
-
-
 def test_op1_against_brute_force(spark):
     from loam.llm.queries import op1_simhash
 
