@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import langid, mixing, pieces, simhash
+from loam.llm import langid, mixing, neardup, pieces
 from loam.llm.queries import PIECE_MODEL
 from loam.llm.shared import new_path
 
@@ -21,7 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five words, similarity 0.8)."""
-    return simhash.near_dedup(docs)
+    return neardup.near_dedup(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
