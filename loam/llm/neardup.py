@@ -303,7 +303,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     # two texts of one node: their node takes no part, so that none goes for a link of the other's
     clashing = written(sketched.filter("c > 1").select("node"), "clashes")
     sketched = written(sketched.filter("c = 1").join(met.select("node").distinct(), "node", "left_semi").drop("c"), "meeting-texts")
-    bodies = written(bodies.join(sketched.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "meeting-bodies")
+    # copies of a text go before the shuffle, as far as a task sees them
+    bodies = written(bodies.groupBy("node").agg(F.first("text").alias("text")).join(sketched.select("node"), "node", "left_semi"), "meeting-bodies")
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     for last in (False, True):
         pairs = written(star_pairs(met, _with_kin(sketched, roots), last, similarity, radius), "star-pairs")
