@@ -7,7 +7,9 @@ logarithmic scale (2 hex digits) and, for every bucket, in which quarter of the
 Two digests' difference is the sum of the buckets' differences (0 to 3; 3 counts 4) and 4 for each step of
 length from the second on, at most LENGTH_MOST; likeness is 1 - difference / largest possible difference.
 
-Null texts are empty texts: every count is 0, in the lowest quarter. Equal texts have equal digests.
+Null texts are empty texts: every count is 0, in the lowest quarter. Equal texts have equal digests. Whole texts
+count, in parts where they are very long. Null and repeated ids and rows stay. An empty table gives an empty one; a
+table of one row compares it with itself. Only the named columns are read; others may have any name.
 """
 
 from __future__ import annotations
@@ -120,12 +122,13 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     found = written(rows.mapInArrow(_pairs, f"{_SCHEMA}, edge int, text string").withColumn("part", F.spark_partition_id()), "compared")
     inner = found.filter("edge is null").select(*_NAMES)
-    # two rows for each partition: its first (edge 0) and its last (edge 1)
-    ends = found.filter("edge is not null").select("doc_id", "text", "fingerprint", "edge", "part")
-    order = Window.orderBy("part", "edge")
+    # two rows for each partition: its first (edge 0) and its last (edge 1); only the partitions' numbers are ordered
+    ends = found.filter("edge is not null")
+    order = Window.orderBy("part")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = lambda c: F.coalesce(F.lead(c).over(order), F.first(c).over(whole))
-    met = ends.select("doc_id", "text", "fingerprint", "edge", after("text").alias("next_text"), after("fingerprint").alias("next_print")).filter("edge = 1")
+    after = ends.filter("edge = 1").select("part").withColumn("next", F.coalesce(F.lead("part").over(order), F.first("part").over(whole)))
+    first = ends.filter("edge = 0").select(F.col("part").alias("next"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_print"))
+    met = ends.filter("edge = 1").select("part", "doc_id", "text", "fingerprint").join(after, "part").join(first, "next")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
