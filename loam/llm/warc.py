@@ -7,15 +7,20 @@ shards one after the other as files of gzip members, one per record, and begins
 compressed size has reached ROLL_BYTES. Headers and digests are made anew from the payload, and there is no
 clock or random id in them, so the same rows give the same files byte for byte.
 
-A file is written under a temporary name, then renamed to its final one; a retried or doubled task writes
-the same bytes again. The names, sizes and digests of finished files are the manifest, a table written last;
-the reader takes the files that the manifest names, and checks sizes and digests.
+Payloads move once, to their shard. Which records are revisits is found without payloads; each such record's notice
+is sorted into the shard right before it.
+
+A file is written under a temporary name, then renamed to one that ends in a hash of its content; a retried or doubled
+task writes the same bytes, and a name that is taken already holds them. The names, sizes and digests of finished
+files are the manifest, a table written last; the reader takes the files that the manifest names, checks sizes and
+digests, and hands records on in batches of bounded bytes.
 
 Of records with equal payloads of REVISIT_BYTES or more, that of the largest page id is a response (if
 that id is repeated, each of its rows is) and the others are revisits of it: HTTP headers without the payload.
 Smaller ones are all responses. Null html is an empty payload. A null url, or what a header can't hold, is
 replaced by urn:page:ID or percent-encoded; a null page id is written as `null`. Repeated rows are all
-written. An empty table gives an empty manifest. The folder is any that pyarrow's file systems reach.
+written, under ids that count them. Payloads of any length are written whole. An empty table gives an empty manifest.
+Only the named columns are read; others may have any name. The folder is any that pyarrow's file systems reach.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ from loam.llm.shared import small, written
 
 SHARD_BYTES, ROLL_BYTES, BINS = 64 << 20, 16 << 20, 2048
 REVISIT_BYTES = 1000
+#: Payload bytes of the records that the reader hands on at once, unless one alone is larger.
+BATCH_BYTES = 16 << 20
 #: Compressed bytes handed to the decoder at once.
 PIECE_BYTES = 1 << 13
 #: Fixed values of the WARC 1.1 format.
@@ -54,24 +61,29 @@ def target_uri(url: str | None, page_id: int | None) -> str:
     return _UNSAFE.sub(lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), url)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One uncompressed record; a revisit if refers_to is given."""
+def record_id(page_id: int | None, url: str | None, digest: str, copy: int = 0) -> str:
+    """copy counts the rows that are alike in all of these."""
+    return uuid.uuid5(uuid.NAMESPACE_URL, f"page:{'null' if page_id is None else page_id}:{url}:{digest}:{copy}").urn
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: tuple | None, copy: int = 0) -> bytes:
+    """One uncompressed record; a revisit if refers_to, the page id and url of the response, is given."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    own = "null" if page_id is None else page_id
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{own}:{url}:{digest}')}>",
+        f"WARC-Record-ID: <{record_id(page_id, url, digest, copy)}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {target_uri(url, page_id)}",
-        f"WARC-Page-ID: {own}",
+        f"WARC-Page-ID: {'null' if page_id is None else page_id}",
         f"WARC-Payload-Digest: sha1:{sha1_base32(digest)}",
         f"WARC-Block-Digest: sha1:{sha1_base32(hashlib.sha1(block).hexdigest())}",
-        *([f"WARC-Profile: {PROFILE}", f"WARC-Refers-To-Page-ID: {refers_to}"] if refers_to is not None else []),
-        "Content-Type: application/http; msgtype=response",
-        f"Content-Length: {len(block)}",
     ]
+    if refers_to is not None:
+        of, at = refers_to
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{record_id(of, at, digest)}>", f"WARC-Refers-To-Target-URI: {target_uri(at, of)}", f"WARC-Refers-To-Page-ID: {of}"]
+    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -91,8 +103,7 @@ class _Roll:
 
     def add(self, page_id: int | None, member: bytes) -> Iterator[tuple]:
         if self.out is None:
-            self.name = f"part-{self.shard:06d}-{self.number:05d}.warc.gz"
-            self.temporary = f"{self.path}/_temporary/{self.name}-{uuid.uuid4().hex}"
+            self.temporary = f"{self.path}/_temporary/{uuid.uuid4().hex}"
             self.out, self.size, self.records, self.sha, self.first = self.fs.open_output_stream(self.temporary, compression=None), 0, 0, hashlib.sha1(), page_id
         self.out.write(member)
         self.sha.update(member)
@@ -103,9 +114,16 @@ class _Roll:
     def close(self) -> Iterator[tuple]:
         if self.out is not None:
             self.out.close()
-            self.fs.move(self.temporary, f"{self.path}/{self.name}")
+            sha1 = self.sha.hexdigest()
+            name = f"part-{self.shard:06d}-{self.number:05d}-{sha1[:16]}.warc.gz"
+            try:
+                self.fs.move(self.temporary, f"{self.path}/{name}")
+            except OSError:
+                if self.fs.get_file_info(f"{self.path}/{name}").size != self.size:
+                    raise
+                self.fs.delete_file(self.temporary)  # another attempt has written these bytes
             self.out, self.number = None, self.number + 1
-            yield self.name, self.records, self.size, self.sha.hexdigest(), self.first, self.last
+            yield name, self.records, self.size, sha1, self.first, self.last
 
 
 def _write(folder: str, roll_bytes: int):
@@ -116,13 +134,19 @@ def _write(folder: str, roll_bytes: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roll, done = None, []
-        for batch in small(batches):
-            for shard, page_id, url, payload, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        roll, done, noted, last, copy = None, [], None, None, 0
+        for batch in small(batches, 256):
+            for shard, page_id, digest, url, payload, of, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                key = shard, page_id, digest, url
+                if payload is None:
+                    noted = key, (of, at)
+                    continue
                 if roll is None or roll.shard != shard:
                     done += roll.close() if roll else []
                     roll = _Roll(folder, shard, roll_bytes)
-                done += roll.add(page_id, gzip_member(record(page_id, url, payload, digest, refers_to)))
+                last, copy = key, copy + 1 if key == last else 0
+                refers_to = noted[1] if noted and noted[0] == key else None
+                done += roll.add(page_id, gzip_member(record(page_id, url, payload, digest, refers_to, copy)))
             if done:
                 yield table(done)
                 done = []
@@ -132,14 +156,17 @@ def _write(folder: str, roll_bytes: int):
     return run
 
 
-def shards_of(rows: DataFrame, shard_bytes: int = SHARD_BYTES, bins: int = BINS) -> DataFrame:
-    """rows (page_id, payload_bytes, spread) with a column shard, in the order of page_id; nulls are in the first."""
-    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
+def shard_plan(sizes: DataFrame, shard_bytes: int = SHARD_BYTES, bins: int = BINS):
+    """A function that gives rows with page_id, digest and url a column shard, in the order of page_id; nulls come first.
+
+    sizes: page_id and payload_bytes of all records.
+    """
+    low, high = sizes.agg(F.min("page_id"), F.max("page_id")).first()
     if low is None:
         low = high = 0
     width = (high - low) // bins + 1
-    rows = rows.withColumn("bin", F.when(F.col("page_id").isNull(), F.lit(-1)).otherwise(F.floor((F.col("page_id") - low) / width)).cast("int"))
-    heights = sorted((r["bin"], r["b"]) for r in rows.groupBy("bin").agg(F.sum(F.col("payload_bytes") + 500).alias("b")).collect())
+    place = F.when(F.col("page_id").isNull(), F.lit(-1)).otherwise(F.floor((F.col("page_id") - low) / width)).cast("int")
+    heights = sorted((r["bin"], r["b"]) for r in sizes.groupBy(place.alias("bin")).agg(F.sum(F.col("payload_bytes") + 500).alias("b")).collect())
     shard, held, plan = 0, 0, []
     for at, size in heights:
         parts = max(1, round(size / shard_bytes))
@@ -147,26 +174,33 @@ def shards_of(rows: DataFrame, shard_bytes: int = SHARD_BYTES, bins: int = BINS)
             shard, held = shard + 1, 0
         plan.append((at, shard, parts))
         shard, held = (shard + parts, 0) if parts > 1 else (shard, held + size)
-    spark = rows.sparkSession
-    table = spark.createDataFrame(plan, "bin int, first int, parts int")
-    out = rows.join(F.broadcast(table), "bin")  # BINS + 1 rows at most
-    return out.withColumn("shard", (F.col("first") + F.pmod(F.col("spread"), F.col("parts"))).cast("int")).drop("bin", "first", "parts")
+    table = sizes.sparkSession.createDataFrame(plan, "bin int, first int, parts int")
+
+    def sharded(rows: DataFrame) -> DataFrame:
+        out = rows.withColumn("bin", place).join(F.broadcast(table), "bin")  # BINS + 1 rows at most
+        return out.withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("digest", "url"), F.col("parts"))).cast("int")).drop("bin", "first", "parts")
+
+    return sharded
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """Write the archives of all pages below the folder; returns the manifest, which is written there last."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("digest"))
-    sizes = rows.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "digest")
-    # what is known of a digest, for those that several rows have
-    known = sizes.filter(F.col("payload_bytes") >= revisit_bytes).groupBy("digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
-    known = written(known.filter("n > 1").select("digest", "response_id"), "revisited")
-    rows = rows.join(known, "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("response_id")), F.col("response_id")))
-    rows = rows.withColumn("payload_bytes", F.octet_length("payload")).withColumn("spread", F.xxhash64("digest", "url"))
-    rows = shards_of(rows, shard_bytes).select("shard", "page_id", "url", "payload", "digest", "refers_to")
-    order = ("shard", "page_id", "digest", "url")
-    found = rows.repartition("shard").sortWithinPartitions(*order).mapInArrow(_write(folder, roll_bytes), "file string, records long, bytes long, sha1 string, first_page_id long, last_page_id long")
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.sha1(payload).alias("digest"), F.col(url_col).alias("url"), payload.alias("payload"))
+    sizes = written(rows.select("page_id", "digest", "url", F.octet_length("payload").cast("long").alias("payload_bytes")), "sizes")
+    sharded = shard_plan(sizes, shard_bytes)
+    # the response of each payload that several rows have; ties of its page id go to the last url
+    heavy = sizes.filter(F.col("payload_bytes") >= revisit_bytes)
+    known = heavy.groupBy("digest").agg(F.max("page_id").alias("of"), F.count("*").alias("n")).filter("n > 1 and of is not null").drop("n")
+    urls = heavy.groupBy("digest", F.col("page_id").alias("of")).agg(F.max("url").alias("at"))
+    known = written(known.join(urls, ["digest", "of"]), "revisited")
+    notices = heavy.join(known, "digest").filter(~F.col("page_id").eqNullSafe(F.col("of"))).select("page_id", "digest", "url", "of", "at").distinct()
+    names = ["shard", "page_id", "digest", "url", "payload", "of", "at"]
+    both = sharded(rows.withColumns({"of": F.lit(None).cast("long"), "at": F.lit(None).cast("string")})).select(names).union(sharded(notices.withColumn("payload", F.lit(None).cast("binary"))).select(names))
+    # a null payload is a notice, and comes before the records that it is about
+    dealt = both.repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "url", F.col("payload").isNotNull())
+    found = dealt.mapInArrow(_write(folder, roll_bytes), "file string, records long, bytes long, sha1 string, first_page_id long, last_page_id long")
     found.write.parquet(f"{folder}/_manifest")
     return spark.read.schema(found.schema).parquet(f"{folder}/_manifest")
 
@@ -213,13 +247,22 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, 1):
             for content, size, sha1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if len(content) != size or hashlib.sha1(content).hexdigest() != sha1:
                     raise ValueError("a file differs from its manifest")
-                rows = list(parsed(content))
-                for a in range(0, len(rows), 1000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[a : a + 1000], strict=True), kinds, strict=True)], names)
+                rows, held = [], 0
+                for row in parsed(content):
+                    rows.append(row)
+                    held += 500 + len(row[-1] or b"")
+                    if held >= BATCH_BYTES:
+                        yield table(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield table(rows)
 
     return files.select("content", "bytes", "sha1").mapInArrow(run, schema)
