@@ -2,17 +2,19 @@
 
 A text gets a dummy prefix and its spaces become U+2581, as the model file says. No piece holds that sign
 behind another one, so a text falls into chunks (a run of the sign with what follows, or a control sign that
-no longer piece holds) whose best segmentations join to the text's. Each chunk's is the path of highest summed
-log scores over the trie; of equal ones that whose last pieces begin first, as in SentencePiece. A character
-that no piece covers costs ten less than the lowest score and is written as byte pieces (or as the unknown
-piece, if the model has none). All new chunks of an Arrow batch go through the trie side by side; results
-are kept in a dictionary of at most CACHE_CHUNKS chunks, which is emptied when full.
+no longer piece holds) whose best segmentations join to the text's. All new chunks of an Arrow batch go through the
+trie side by side, from every character at once. A place that no piece found crosses cuts a chunk further, so that
+texts without spaces fall apart too. Of each part, all of them side by side, the path of highest summed log scores is
+taken; of equal ones that whose last pieces begin first, as in SentencePiece. A character that no piece covers costs
+ten less than the lowest score and is written as byte pieces (or as the unknown piece, if the model has none). Results
+of chunks of at most KEPT_BYTES are kept in a dictionary of some CACHE_BYTES, which is emptied when full.
 
 Whole texts are encoded. Null texts give null ids and decode to null; empty texts give no ids. Decoding turns
 U+2581 into a space, byte pieces into UTF-8 (broken bytes into U+FFFD) and takes the dummy prefix away, so all
-texts without U+2581 come back exactly. Repeated rows get equal ids. Only identity normalization is
-supported; a model with another raises ValueError. Models are read from a path and never trained. The model
-goes to the tasks within the function: its size is that of a vocabulary.
+texts without U+2581 come back exactly. Repeated rows get equal ids. An empty table gives an empty one. All columns come
+back in a struct, so they may have any name. Only identity normalization is supported; a model with another raises
+ValueError. Models are read from a path and never trained. The model goes to the tasks within the function: its size is
+that of a vocabulary.
 """
 
 from __future__ import annotations
@@ -31,9 +33,13 @@ from pyspark.sql import types as T
 from loam.llm.shared import small
 
 SPACE = "▁"
-CACHE_CHUNKS = 500_000
-#: Byte positions of chunks that are segmented side by side.
-CELLS = 1 << 20
+KEPT_BYTES, CACHE_BYTES = 64, 48 << 20
+#: Bytes of chunks that are segmented side by side, unless one alone is longer.
+STEP_BYTES = 1 << 19
+#: Pieces that are tried one by one rather than side by side.
+FEW = 32
+#: Bytes that a cached chunk takes besides its own and its ids'.
+OVERHEAD = 220
 UNKNOWN_PENALTY = 10.0
 
 
@@ -120,7 +126,9 @@ class Segmenter:
         alone = "".join(c for c in "\n\r\t" if c not in long_signs)
         cuts = all(SPACE not in t.lstrip(SPACE) for t in texts)
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]" if alone else "") if cuts else "(?s:.+)").findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, list[int]] = {}
+        self.held = 0
+        self.byte_ids = np.array([-1 if k is None else k for k in self.bytes], np.int32)
         self.plain = [
             b"" if t == 3 else bytes([int(p[3:5], 16)]) if t == 6 else " ⁇ ".encode() if t == 2 else p.replace(SPACE, " ").encode()
             for p, t in zip(model.pieces, model.kinds, strict=True)
@@ -132,74 +140,110 @@ class Segmenter:
     def __setstate__(self, state: dict) -> None:
         self.__init__(state["model"])
 
-    def _segmented(self, chunks: list[str]) -> None:
-        """Put the ids of these chunks, of falling byte length, into the dictionary."""
+    def _edges(self, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of all pieces in the text, and of characters that no piece is (piece -1)."""
+        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        lead = text[at]
+        wide = at + 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+        single = np.zeros(len(text) + 1, bool)  # characters that are pieces, by their end
+        found, live, node = [], at, np.zeros(len(at), np.int32)
+        end_of = np.zeros(len(text), np.int64)
+        end_of[at] = wide
+        for depth in range(self.trie.depth):
+            to = base[node] + text[live + depth]
+            on = check[to] == node
+            live, node = live[on], to[on]
+            if not len(live):
+                break
+            got = value[node]
+            hit = got >= 0
+            start = live[hit]
+            found.append((start, start + depth + 1, got[hit]))
+            single[start[end_of[start] == start + depth + 1] + depth + 1] = True
+        bare = ~single[wide]
+        found.append((at[bare], wide[bare], np.full(int(bare.sum()), -1, np.int32)))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    @staticmethod
+    def _one_by_one(start, end, piece, gain, cut, best, last, named) -> None:
+        score, came = best.tolist(), {}
+        for k, (s, e, g, first) in enumerate(zip(start.tolist(), end.tolist(), gain.tolist(), cut[start].tolist(), strict=True)):
+            total = g if first else score[s] + g
+            if total > score[e]:
+                score[e], came[e] = total, k
+        at, k = np.fromiter(came, np.int64, len(came)), np.fromiter(came.values(), np.int64, len(came))
+        best[at], last[at], named[at] = np.array(score)[at], start[k], piece[k]
+
+    def _segmented(self, chunks: list[str]) -> list[list[int]]:
+        """The ids of each chunk. A chunk is its bytes and one more place, its end; 256 is there, a byte no piece has."""
         raws = [c.encode() for c in chunks]
-        lengths = np.array(list(map(len, raws)))
-        n, longest = len(raws), int(lengths[0])
-        text = np.zeros((n, longest), np.uint8)
-        text[np.arange(longest)[None, :] < lengths[:, None]] = np.frombuffer(b"".join(raws), np.uint8)
-        score = np.full((n, longest + 5), -np.inf)
-        score[:, 0] = 0
-        start, piece = np.zeros((n, longest + 5), np.int32), np.full((n, longest + 5), -1, np.int32)
-        base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.model.scores
-        for i in range(longest):
-            rows = np.flatnonzero((lengths > i) & (score[:, i] > -np.inf))
-            if not len(rows):
-                continue
-            lead = text[rows, i]
-            width = 1 + (lead >= 0xC0).astype(np.int32) + (lead >= 0xE0) + (lead >= 0xF0)
-            single = np.zeros(n, bool)
-            wide = np.zeros(n, np.int32)
-            wide[rows] = width
-            live, node = rows, np.zeros(len(rows), np.int64)
-            for end in range(i + 1, min(i + self.trie.depth, longest) + 1):
-                if len(live) == 0:
-                    break
-                keep = lengths[live] >= end
-                live, node = live[keep], node[keep]
-                to = base[node] + text[live, end - 1]
-                keep = check[to] == node
-                live, node = live[keep], to[keep]
-                got = value[node]
-                hit = got >= 0
-                at, found = live[hit], got[hit]
-                single[at[wide[at] == end - i]] = True
-                total = score[at, i] + scores[found]
-                better = total > score[at, end]
-                at = at[better]
-                score[at, end], start[at, end], piece[at, end] = total[better], i, found[better]
-            none = ~single[rows]
-            at, end = rows[none], i + width[none]
-            total = score[at, i] + self.lowest
-            better = total > score[at, end]
-            at, end = at[better], end[better]
-            score[at, end], start[at, end], piece[at, end] = total[better], i, -1
-        for k, (chunk, raw) in enumerate(zip(chunks, raws, strict=True)):
-            out, end, starts, found = [], len(raw), start[k], piece[k]
-            while end:
-                a, p = int(starts[end]), int(found[end])
-                if p >= 0:
-                    out.append(p)
-                else:
-                    fallback = [self.bytes[b] for b in raw[a:end]]
-                    out += [self.unknown] if None in fallback else fallback[::-1]
-                end = a
-            self.known[chunk] = tuple(out[::-1])
+        ends = np.cumsum([len(r) + 1 for r in raws]) - 1
+        text = np.frombuffer(b"\xff".join(raws) + b"\xff" * (self.trie.depth + 1), np.uint8).astype(np.int32)
+        text[ends] = text[ends[-1] :] = 256
+        at = np.flatnonzero(((text & 0xC0) != 0x80) & (text < 256))
+        start, end, piece = self._edges(text, at)
+        # a place is a cut if no piece from before it ends behind it
+        reach = np.arange(ends[-1] + 1)
+        np.maximum.at(reach, start, end)
+        cut = np.concatenate(([True], np.maximum.accumulate(reach)[:-1] <= np.arange(1, len(reach))))
+        cut[1:][text[: len(cut) - 1] == 256] = True  # the start of a chunk
+        own = np.maximum.accumulate(np.where(cut, np.arange(len(cut)), 0))
+        gain = np.where(piece >= 0, self.model.scores[piece], self.lowest)
+        order = np.argsort(start - own[start], kind="stable")
+        start, end, piece, gain = start[order], end[order], piece[order], gain[order]
+        steps = np.flatnonzero(np.diff(start - own[start])) + 1
+        # best score of a path to a place from the cut before it, and where its last piece begins
+        best, last, named = np.full(len(cut), -np.inf), np.zeros(len(cut), np.int64), np.full(len(cut), -1, np.int32)
+        for a, b in zip([0, *steps.tolist()], [*steps.tolist(), len(start)], strict=True):
+            if b - a < FEW and len(start) - a > 512 * FEW:  # a few very long parts are left
+                self._one_by_one(start[a:], end[a:], piece[a:], gain[a:], cut, best, last, named)
+                break
+            s, e = start[a:b], end[a:b]
+            total = np.where(cut[s], 0.0, best[s]) + gain[a:b]
+            up = total > best[e]
+            e = e[up]
+            best[e], last[e], named[e] = total[up], s[up], piece[a:b][up]
+        path = np.flatnonzero(cut & np.isfinite(best))
+        on = np.zeros(len(cut), bool)
+        while len(path):
+            on[path] = True
+            path = last[path]
+            path = path[~cut[path]]
+        token = np.flatnonzero(on)
+        begin, kind = last[token], named[token]
+        width = token - begin
+        spelled = kind < 0  # by its bytes, if the model has pieces for all of them
+        for k in range(4):
+            spelled &= (k >= width) | (self.byte_ids[text[np.minimum(begin + k, token - 1)] & 0xFF] >= 0)
+        count = np.where(spelled, width, 1)
+        ids = np.repeat(np.where(kind >= 0, kind, self.unknown), count)
+        first = np.cumsum(count) - count
+        for k in range(4):
+            some = spelled & (width > k)
+            ids[first[some] + k] = self.byte_ids[text[begin[some] + k]]
+        upto = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(token, ends, side="right")].tolist()
+        ids = ids.tolist()
+        return [ids[a:b] for a, b in zip([0, *upto[:-1]], upto, strict=True)]
 
     def encode(self, texts: Iterable[str | None]) -> list[list[int] | None]:
-        texts = list(texts)
         split = [None if t is None else self._chunks(t) for t in texts]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
-        new = sorted({c for s in split if s for c in s if c not in self.known}, key=lambda c: -len(c.encode()))
-        at = 0
-        while at < len(new):
-            step = max(1, CELLS // (len(new[at].encode()) + 5))
-            self._segmented(new[at : at + step])
-            at += step
-        known = self.known
-        return [None if s is None else [i for c in s for i in known[c]] for s in split]
+        if self.held > CACHE_BYTES:
+            self.known, self.held = {}, 0
+        known, new, size, once = self.known, [], 0, {}
+        wanted = dict.fromkeys(c for s in split if s for c in s if c not in known)
+        for chunk in wanted:
+            new.append(chunk)
+            size += len(chunk)
+            if size >= STEP_BYTES:
+                once.update(zip(new, self._segmented(new), strict=True))
+                new, size = [], 0
+        if new:
+            once.update(zip(new, self._segmented(new), strict=True))
+        for chunk, ids in once.items():
+            if len(chunk) <= KEPT_BYTES:
+                known[chunk] = ids
+                self.held += OVERHEAD + len(chunk) + 8 * len(ids)
+        return [None if s is None else [i for c in s for i in (known[c] if c in known else once[c])] for s in split]
 
     def _chunks(self, text: str) -> list[str]:
         if not text:
