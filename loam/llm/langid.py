@@ -5,10 +5,11 @@ every language's dictionary, in chunks of CHUNK_BYTES so that a long text's own
 dictionary, and belongs to the language whose dictionary makes it smallest. The score is the share of the
 runner-up's size that the best saves; a text whose score is under a margin is rejected.
 
-The dictionaries are the only thing learned. They hold at most SAMPLE_TEXTS texts of PIECE_CHARS characters
-for each language, chosen by a hash of the id, so their size doesn't grow with the corpus. Whole texts are
-classified. Null texts and texts without a letter are undetermined, with score 0; so is everything if
-nothing is learned. Ties go to the language first in code point order. Repeated rows get equal results.
+The dictionaries are the only thing learned. They hold pieces of at most SAMPLE_TEXTS texts for each language, chosen
+by a hash of the id, so their size doesn't grow with the corpus. A piece is PIECE_CHARS characters from a place that
+the hash chooses as well, or the text if it is shorter. Whole texts of any length are classified. Null texts and texts without a letter are undetermined, with score 0; so is everything if
+nothing is learned. Ties go to the language first in code point order. Repeated rows
+get equal results. An empty table gives an empty one. All columns come back in a struct, so they may have any name.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.llm.shared import small
-
 #: The bound of the sample: texts of each language, and characters of each.
 SAMPLE_TEXTS, PIECE_CHARS = 128, 1000
 #: A text is encoded in chunks of so many bytes.
@@ -36,8 +35,9 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 def learned_dictionaries(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = SAMPLE_TEXTS, piece_chars: int = PIECE_CHARS) -> dict[str, bytes]:
     """A dictionary for each language from at most `texts` texts of it; the same for the same rows in any order."""
-    piece = F.substring(F.col(text_col), 1, piece_chars)
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"), piece.alias("piece"))
+    h, text = F.xxhash64(F.col(id_col)), F.col(text_col)
+    start = F.pmod(h, F.greatest(F.char_length(text) - piece_chars, F.lit(0)) + 1).cast("int")
+    rows = labelled.filter(F.col(lang_col).isNotNull() & text.isNotNull()).select(F.col(lang_col).alias("lang"), h.alias("h"), F.substring(text, start + 1, F.lit(piece_chars)).alias("piece"))
     order = Window.partitionBy("lang").orderBy("h", "piece")
     found = rows.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= texts).collect()
     out: dict[str, dict[str, None]] = {}
