@@ -1,19 +1,22 @@
 """HTML main text by consensus host paths.
 
 1. Every page is read into a tree of elements; boilerplate (navigation, headers, footers, sidebars, notices,
-   adverts, forms, reader comments, scripts, styles; by tag, role or class words) is marked. Each container is
-   scored by the text outside links that it holds, weighted by tag and class words; the deepest one that scores
-   three quarters of the highest is the page's best, or the article (else main) element around it.
+   adverts, forms, reader comments, scripts, styles) is marked by tag, role or, at elements that hold blocks, class
+   words. Inline elements, quotations and code are never marked by their class. Each container is scored by the prose
+   outside links that it holds, weighted by tag and class words. The page's best is its article (else main) element
+   if that scores three quarters of the highest; else the deepest container that holds all prose of the page.
 2. The page votes for its best container's path: tags with their classes from the root on, with digits
-   generalised. Votes are summed per host and path in Spark, combined before the shuffle; the PATHS paths
-   with most votes win.
-3. Pages are read again: the text is that of the containers on the best-placed winning path, if they score at
-   least half of the page's own best; else of the page's best container.
+   generalised. Votes are summed per host and path in Spark, combined before the shuffle; the paths with SHARE of
+   their host's votes win, however many those are.
+3. Pages are read again: the text is that of the containers on the winning path of most votes that holds at
+   least half of the prose of the page's own best; else of the page's best container.
 
 Blocks of the chosen containers come in page order, one a line: character references are decoded, white
-space (a `<br>` too) becomes one space. Nothing else is dropped or cut. Null html is an empty page; a page without
-text gives an empty text. The host is what op3's rule names so; null urls share one empty host. Null and repeated ids stay.
-An empty table gives an empty one.
+space (a `<br>` too) becomes one space. Nothing else is dropped or cut. Reading takes time in proportion to the page:
+a `<` that no `>` follows is text, a tag whose quotes don't close ends at its first `>`, and elements deeper than
+MAX_DEPTH are read as if they weren't there, with their text kept. Null html is an empty page; a page without
+text gives an empty text. The host is what op3's rule names so; null urls share one empty host. Null and repeated ids
+and rows stay. An empty table gives an empty one. Only the named columns are read; others may have any name.
 """
 
 from __future__ import annotations
@@ -23,17 +26,22 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam.llm.shared import small, written
 from loam.llm.urlfilter import host_of
 
-#: Winning paths kept for each host, by votes. Other pages' texts come from their own best container.
-PATHS = 5
+#: A path wins with this share of its host's votes.
+SHARE = 0.01
+#: Open elements at most.
+MAX_DEPTH = 512
+#: Of text in a bare division, so many characters are prose.
+PROSE = 40
 #: Tags of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select xmp noembed noframes".split())
+RAW = frozenset("script style textarea title template iframe svg select noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "tbody": ("table",), "thead": ("table",), "tfoot": ("table",)}
@@ -42,14 +50,20 @@ DROPPED_TAGS = frozenset("nav footer aside form button dialog head object canvas
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Tags that may hold an article.
 HOLDERS = frozenset("html body main article section div center".split())
+#: Tags whose class words may mark boilerplate; and those that hold no text of their own as a rule.
+MARKED = frozenset("div section ul ol dl menu table details header footer center p fieldset".split())
+BARE = frozenset("div section center".split())
 #: Words in a class or id that mark boilerplate, and those that mark main text.
 DROPPED_WORDS = frozenset("""nav navbar navigation menu submenu footer header masthead topbar toolbar sidebar aside rail ad ads adv advert adverts
 advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal overlay newsletter
 subscribe subscription signup login social share sharing related recommended recommendations breadcrumb breadcrumbs pagination pager comment
 comments commentlist discussion disqus respond replies reply skip hidden copyright legal disclaimer widget paywall form""".split())
 COMMENT_WORDS = frozenset("comment comments commentlist discussion disqus respond replies reply".split())
+#: Those of the words that inside an article may name parts of it.
+ARTICLE_WORDS = frozenset("header masthead banner notice notices legal disclaimer copyright skip form rail".split())
 MAIN_WORDS = frozenset("article content entry main post story body text".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+_REST = re.compile(r"(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _ATTR = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 _RAW_END = {tag: re.compile(f"</{tag}", re.I) for tag in RAW}
@@ -57,19 +71,23 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "article", "weight", "score")
+    __slots__ = ("tag", "parent", "path", "dropped", "article", "weight", "prose", "size", "inline", "block", "math", "link")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str):
-        self.tag, self.parent, self.score, self.weight = tag, parent, 0.0, 1.0
+        self.tag, self.parent, self.prose, self.size, self.weight = tag, parent, 0, 0, 1.0
         named = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)} if attrs and not attrs.isspace() else {}
         classes = unescape(named.get("class", "")).split()
         words = {w.lower() for x in (*classes, named.get("id", "")) for w in _WORD.findall(x)}
         self.article = parent is not None and parent.article or tag in ("article", "main")
-        if tag not in INLINE:
-            own = f"{tag}.{'.'.join(sorted({_DIGITS.sub('#', c) for c in classes}))}" if classes else tag
-            self.path = f"{parent.path}>{own}" if parent else own
+        self.math = tag == "math" or parent is not None and parent.math
+        self.inline = tag in INLINE or self.math
+        self.block = parent.block if self.inline and parent else self
+        self.link = tag == "a" or parent is not None and parent.link
+        if self.inline and parent:
+            self.path = parent.path
         else:
-            self.path = parent.path if parent else tag
+            own = f"{tag}.{'.'.join(sorted({_DIGITS.sub('#', c) for c in classes}))}" if classes else tag
+            self.path = path_id(parent.path if parent else 0, own)
         self.dropped = parent is not None and parent.dropped or self._boilerplate(tag, named, words)
         if tag in ("html", "body"):
             self.weight = 0.8
@@ -85,54 +103,63 @@ class Node:
             return True
         if "hidden" in named or "none" in re.findall(r"display\s*:\s*(\w+)", named.get("style", "").lower()):
             return True
-        if words & COMMENT_WORDS:
-            return True
         if tag == "header" and not self.article:
             return True
-        if tag in ("article", "main"):
+        if tag not in MARKED:
             return False
-        found = words & DROPPED_WORDS
-        if found and found <= {"header", "body"} and (self.article or words & MAIN_WORDS):
+        found = words & DROPPED_WORDS - (ARTICLE_WORDS if self.article else frozenset())
+        if found and found <= {"header", "body"} and words & MAIN_WORDS:
             return False
         return bool(found)
 
+    @property
+    def score(self) -> float:
+        return self.prose * self.weight
+
+
+def path_id(parent: int, own: str) -> int:
+    """A path's name: a hash of its parent's name and the element's tag and classes."""
+    return xxhash.xxh64_intdigest(f"{parent}>{own}", 0) - (1 << 63)
+
 
 class Page:
-    """A page's containers, with scores, and its blocks: (text, characters in links, container)."""
+    """A page's containers, with scores, and its blocks: (text, its container)."""
 
     def __init__(self, html: str):
-        self.nodes: list[Node] = []
-        self.blocks: list[tuple[str, int, Node]] = []
+        root = Node("html", None, "")
+        self.nodes: list[Node] = [root]
+        self.blocks: list[tuple[str, Node]] = []
         self._text: list[str] = []
         self._links = 0
-        root = Node("html", None, "")
-        self._stack, self.nodes = [root], [root]
+        self._stack = [root]
+        self._beyond: dict[str, int] = {}
         self._read(html)
-        self._score()
+        self._sum()
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
-                node = self._stack[-1]
-                while node.tag in INLINE:
-                    node = node.parent
-                self.blocks.append((text, min(self._links, len(text)), node))
+                node, size = self._stack[-1].block, max(0, len(text) - self._links)
+                self.blocks.append((text, node))
+                node.size += size
+                if 2 * size > len(text) and (size >= PROSE or node.tag not in BARE):
+                    node.prose += size
             self._text, self._links = [], 0
 
     def _add(self, raw: str) -> None:
         top = self._stack[-1]
         if top.dropped:
-            if not raw.isspace() and top.tag not in INLINE:
+            if not raw.isspace() and not top.inline:
                 self._flush()
             return
         text = unescape(raw) if "&" in raw else raw
         self._text.append(text)
-        if any(n.tag == "a" for n in self._stack[-4:]):
+        if top.link:
             self._links += len(text)
 
     def _pop_to(self, k: int) -> None:
-        if any(n.tag not in INLINE for n in self._stack[k:]):
+        if any(not n.inline for n in self._stack[k:]):
             self._flush()
         del self._stack[k:]
 
@@ -140,13 +167,8 @@ class Page:
         stack = self._stack
         if tag == "html":
             return
-        if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    self._pop_to(k)
-                    break
-                if stack[k].tag not in INLINE:
-                    break
+        if tag in CLOSES_P and stack[-1].block.tag == "p":
+            self._pop_to(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == "p"))
         if tag in SIBLINGS:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in ALIKE.get(tag, (tag,)):
@@ -154,104 +176,126 @@ class Page:
                     break
                 if stack[k].tag in SIBLINGS[tag]:
                     break
-        if tag not in INLINE:
-            self._flush()
-        elif tag == "br":
+        if tag == "br":
             self._add(" ")
+        elif tag not in INLINE and tag != "math" and not stack[-1].math:
+            self._flush()
         if tag in VOID:
             return
+        if len(stack) >= MAX_DEPTH:
+            self._beyond[tag] = self._beyond.get(tag, 0) + 1
+            return
         node = Node(tag, stack[-1], attrs)
         stack.append(node)
-        if tag not in INLINE and not node.dropped:
+        if not node.inline and not node.dropped:
             self.nodes.append(node)
 
     def _close(self, tag: str) -> None:
         stack = self._stack
         if tag == "br":
             self._add(" ")
+        elif self._beyond.get(tag):
+            self._beyond[tag] -= 1
+            if tag not in INLINE:
+                self._flush()
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag == tag:
                 self._pop_to(k)
                 return
-            if tag in INLINE and stack[k].tag not in INLINE:
+            if tag in INLINE and not stack[k].inline:
                 return
 
     def _read(self, html: str) -> None:
-        at = 0
-        while found := _TOKEN.search(html, at):
-            if found.start() > at:
-                self._add(html[at : found.start()])
-            at = found.end()
-            tag = found[2]
-            if not tag:
+        at, strict = 0, True
+        while (start := html.find("<", at)) >= 0:
+            found = _NAME.match(html, start + 1)
+            if html.startswith("<!--", start):
+                end = html.find("-->", start + 4)
+                end = len(html) if end < 0 else end + 3
+            elif found or html.startswith(("<!", "<?"), start):
+                close = html.find(">", start)
+                if close < 0:  # no tag ends any more
+                    break
+                end = close + 1
+                if found and strict:
+                    rest = _REST.match(html, found.end())
+                    strict = rest is not None
+                    end = rest.end() if rest else end
+            else:
+                self._add(html[at : start + 1])
+                at = start + 1
+                continue
+            if start > at:
+                self._add(html[at:start])
+            at = end
+            if not found:
                 continue
-            tag = tag.lower()
-            if found[1]:
+            tag, attrs = found[1].lower(), html[found.end() : end - 1]
+            if html[start + 1] == "/":
                 self._close(tag)
                 continue
-            self._open(tag, found[3])
-            if tag in RAW and not found[3].endswith("/"):
-                end = _RAW_END[tag].search(html, at)
-                at = end.start() if end else len(html)
+            self._open(tag, attrs)
+            if tag in RAW and not attrs.endswith("/"):
+                ended = _RAW_END[tag].search(html, at)
+                at = ended.start() if ended else len(html)
         if at < len(html):
             self._add(html[at:])
         self._pop_to(1)
         self._flush()
 
-    def _score(self) -> None:
-        """A container's score: the characters outside links of all blocks in it, by its weight."""
-        for text, links, node in self.blocks:
-            size = len(text) - links
-            while node is not None:
-                node.score += size * node.weight
-                node = node.parent
+    def _sum(self) -> None:
+        """Sizes and prose of all that is in a container; containers come before those within them."""
+        for node in reversed(self.nodes):
+            if node.parent:
+                up = node.parent.block
+                up.size += node.size
+                up.prose += node.prose
 
     def best(self) -> Node:
-        """The deepest container that scores three quarters of the highest; or the outermost article, else main, around it."""
         holders = [n for n in self.nodes if n.tag in HOLDERS]
         most = max(n.score for n in holders)
-        found = max((n for n in holders if n.score >= 0.75 * most), key=lambda n: (n.path.count(">"), n.score))
-        around, up = {}, found
-        while up is not None:
-            around[up.tag] = up
-            up = up.parent
-        return around.get("article") or around.get("main") or found
-
-    def text(self, paths: list[str]) -> str:
-        best, chosen = self.best(), None
-        for path in paths:
-            found = [n for n in self.nodes if n.path == path]
-            if found and 2 * max(n.score for n in found) >= best.score:
-                chosen = set(map(id, found))
-                break
-        chosen = chosen or {id(best)}
-        out = []
-        for text, _, node in self.blocks:
-            while node is not None and id(node) not in chosen:
-                node = node.parent
-            if node is not None:
-                out.append(text)
-        return "\n".join(out)
+        for tag in ("article", "main"):
+            own = [n for n in holders if n.tag == tag and n.score >= 0.75 * most]
+            if own:
+                return max(own, key=lambda n: n.score)  # the first, so the outermost, of equal ones
+        root = self.nodes[0]
+        whole = "prose" if root.prose else "size"
+        return [n for n in holders if getattr(n, whole) == getattr(root, whole)][-1] if root.size else root
+
+    def text(self, paths: list[int]) -> str:
+        best = self.best()
+        by_path: dict[int, list[Node]] = {}
+        if paths:
+            for n in self.nodes:
+                by_path.setdefault(n.path, []).append(n)
+        found = next((by_path[p] for p in paths if p in by_path and 2 * max(n.prose for n in by_path[p]) >= best.prose), [best])
+        inside: dict[int, bool] = {id(n): True for n in found}
+        for n in self.nodes:
+            if id(n) not in inside:
+                inside[id(n)] = n.parent is not None and inside.get(id(n.parent.block), False)
+        return "\n".join(text for text, node in self.blocks if inside.get(id(node)))
 
 
 def page_votes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path, votes): how many pages of a host have their best container at the path."""
+    """(host, path, votes): how many pages of a host have their best container at the path, a hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             pages = [Page(x or "") for x in batch.column(1).to_pylist()]
             paths = [p.best().path if p.blocks else None for p in pages]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], ["host", "path"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.int64())], ["host", "path"])
 
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(run, "host string, path string").filter("path is not null").groupBy("host", "path").agg(F.count("*").alias("votes"))
+    return rows.mapInArrow(run, "host string, path long").filter("path is not null").groupBy("host", "path").agg(F.count("*").alias("votes"))
 
 
-def winning_paths(votes: DataFrame, paths: int = PATHS) -> DataFrame:
-    """(host, paths): each host's paths of most votes, best first."""
-    order = Window.partitionBy("host").orderBy(F.col("votes").desc(), "path")
-    best = votes.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= paths)
-    return best.groupBy("host").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("paths"))
+def winning_paths(votes: DataFrame, share: float = SHARE) -> DataFrame:
+    """(host, paths): each host's paths with the share of its votes, 1 / share at most, best first."""
+    host = Window.partitionBy("host")
+    best = votes.withColumn("all", F.sum("votes").over(host)).filter(F.col("votes") >= share * F.col("all"))
+    order = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("less"), "path")))
+    return best.groupBy("host").agg(F.transform(order, lambda x: x["path"]).alias("paths"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
