@@ -65,7 +65,10 @@ def languages(docs):
     learn = docs[np.array([zlib.crc32(str(i).encode()) % 4 != 2 for i in docs.doc_id]) & docs.lang.notna()]
     order = sorted(learn.index, key=lambda k: (docs.lang[k], docs.h[k], docs.text[k]))
     for lang in sorted(set(learn.lang)):
-        chosen = [docs.text[k][: langid.PIECE_CHARS] for k in order if docs.lang[k] == lang][: langid.SAMPLE_TEXTS]
+        chosen = []
+        for text, h in [(docs.text[k], docs.h[k]) for k in order if docs.lang[k] == lang][: langid.SAMPLE_TEXTS]:
+            at = h % (max(0, len(text) - langid.PIECE_CHARS) + 1)
+            chosen.append(text[at : at + langid.PIECE_CHARS])
         known[lang] = "\n".join(map(langid.folded, dict.fromkeys(reversed(chosen)))).encode()
     coders = langid.compressors(known)
     assert all(isinstance(c, zstandard.ZstdCompressor) for c in coders.values())

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import math
+import os
 import re
 
 import numpy as np
@@ -57,23 +58,38 @@ def test_top_k_with_ties_bad_vectors_and_many_tiles(spark, monkeypatch):
     monkeypatch.setattr(topk, "FAN", 2)
     rng = np.random.default_rng(0)
     rows = [(k, rng.integers(-2, 3, 4).astype(float).tolist()) for k in range(120)]
-    rows += [(200, None), (201, [1.0, None, 1.0, 1.0]), (202, [math.nan] * 4), (203, [math.inf] * 4), (204, [1.0, 2.0]), (210, [3.0, 1.0]), (5, [2.0] * 4), (None, [1.0] * 4)]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("x") for c in ("id", "shard", "block", "dim", "v", "score")})
+    rows += [(200, None), (201, [1.0, None, 1.0, 1.0]), (202, [math.nan] * 4), (203, [math.inf] * 4), (204, [1.0, 2.0]), (210, [3.0, 1.0]), (220, []), (221, []), (230, [1e30, -2.0**70, 0.5]), (231, [1e30, 1.0, 1.0]), (232, [-1.0, 2.0, 3.0]), (5, [2.0] * 4), (None, [1.0] * 4)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("x") for c in ("id", "shard", "block", "dim", "v", "w", "score")})
     out = topk.exact_top_k(table, table.filter("vec_id % 10 = 0"), k=6).collect()
+    held = lambda x: max(-(2**63) + 1, min(2**63 - 1, x))
     usable = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     expected = []
     for q, v in usable:
         if q % 10 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in usable if i != q and len(w) == len(v))[:6]
+            scores = sorted((-held(sum(a * b for a, b in zip(v, w, strict=True))), i) for i, w in usable if i != q and len(w) == len(v))[:6]
             expected += [(q, k, i, -s) for k, (s, i) in enumerate(scores, 1)]
     assert sorted(map(tuple, out)) == sorted(expected)
     assert topk.exact_top_k(table.limit(0), table).count() == topk.exact_top_k(table, table.limit(0)).count() == 0
 
 
 def test_large_components_stay_exact():
-    q = np.array([[3_000_000_019, 7]])
-    q_id, i, s = topk.tile_top_k(q, np.array([1]), np.array([[2_000_000_011, 1], [2_000_000_011, 2], [5, 5]]), np.array([9, 8, 7]), 2)
-    assert list(zip(i.tolist(), s.tolist(), strict=True)) == [(8, 3_000_000_019 * 2_000_000_011 + 14), (9, 3_000_000_019 * 2_000_000_011 + 7)]
+    q = np.array([[3_000_000_019.0, 7]])
+    q_id, i, s = topk.tile_top_k(q, np.array([1]), np.array([[1_000_000_011.0, 1], [1_000_000_011, 2], [5, 5]]), np.array([9, 8, 7]), 2)
+    assert list(zip(i.tolist(), s.tolist(), strict=True)) == [(8, 3_000_000_019 * 1_000_000_011 + 14), (9, 3_000_000_019 * 1_000_000_011 + 7)]
+
+
+def test_tiles_of_long_vectors_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_BYTES", 1 << 20)
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(-3, 4, (300, 4096)) / 1024
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    out = topk.exact_top_k(table, table.filter("vec_id % 100 = 0"), k=3)
+    whole = np.floor(vectors * 1024)
+    scores = whole[::100] @ whole.T
+    for r in out.collect():
+        own = sorted((-s, i) for i, s in enumerate(scores[r.query_id // 100]) if i != r.query_id)
+        assert (-r.score, r.id) == own[r.rank - 1]
+    assert out.count() == 9
 
 
 # WARC
@@ -103,6 +119,42 @@ def test_archives_round_trip_and_are_the_same_bytes_again(spark):
     assert gzip.decompress(data).startswith(b"WARC/1.1\r\nWARC-Type: ")
 
 
+def test_record_ids_are_unique_and_revisits_refer(spark):
+    folder = shared.new_path(spark, "warc")
+    warc.write_archives(pages_of(spark)[0], folder)
+    text = b"".join(gzip.decompress(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).collect())
+    ids = re.findall(rb"WARC-Record-ID: (\S+)", text)
+    refers = set(re.findall(rb"WARC-Refers-To: (\S+)", text))
+    assert len(set(ids)) == len(ids) == 11 and len(refers) == 1 and refers <= set(ids)
+
+
+def test_half_of_the_pages_alike_and_a_refused_rename(spark, tmp_path, monkeypatch):
+    big = "<p>" + "same words " * 300
+    pages = spark.createDataFrame([(k, f"http://h/{k}", big if k % 2 else f"<p>page {k}") for k in range(400)], "page_id long, url string, html string")
+    first = warc.write_archives(pages, f"file://{tmp_path}/a", shard_bytes=60_000, roll_bytes=3000).toPandas()
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archives(spark, f"file://{tmp_path}/a").collect()}
+    assert got == {k: ("revisit", 399) if k % 2 and k < 399 else ("response", None) for k in range(400)}
+    # another attempt finds all names taken, and its renames refused
+    roll = warc._Roll(f"file://{tmp_path}/b", 0, 1 << 20)
+
+    class Refusing:
+        def __getattr__(self, name):
+            return getattr(roll_fs, name)
+
+        def move(self, source, target):
+            if os.path.exists(target):
+                raise OSError("exists")
+            roll_fs.move(source, target)
+
+    roll_fs, roll.fs = roll.fs, Refusing()
+    names = []
+    for _ in range(2):
+        roll.number = 0
+        assert not list(roll.add(1, b"bytes"))
+        names += [x[0] for x in roll.close()]
+    assert names[0] == names[1] and os.listdir(f"{tmp_path}/b/_temporary") == [] and len(first) > 3
+
+
 def test_archives_of_no_pages(spark):
     folder = shared.new_path(spark, "warc")
     assert warc.write_archives(pages_of(spark)[0].limit(0), folder).count() == 0

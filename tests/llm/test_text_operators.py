@@ -155,6 +155,32 @@ def test_encode_and_decode_columns(spark, model):
     assert found.select("row.*").columns == docs.columns and pieces.encoded(docs.limit(0), model).count() == 0
 
 
+def test_texts_without_spaces_are_cut_where_no_piece_crosses(model):
+    import time
+
+    rng = np.random.default_rng(0)
+    chinese = "".join(chr(0x4E00 + int(k)) for k in rng.integers(0, 5000, 340_000))
+    segmenter, began = model.prepared(), time.process_time()
+    ids = segmenter.encode([chinese, "x" * 300_000])
+    assert time.process_time() - began < 20 and not any(len(c) > pieces.KEPT_BYTES for c in segmenter.known)
+    assert segmenter.decode(ids[0]) == chinese and segmenter.decode(ids[1]) == "x" * 300_000
+
+
+def test_a_few_long_parts_one_by_one(monkeypatch):
+    text = "aab" * 3000 + "caab" * 900
+    ids = small_model().prepared().encode([text, "ab"])
+    monkeypatch.setattr(pieces, "FEW", 0)
+    assert small_model().prepared().encode([text, "ab"]) == ids and library(small_model()).encode(text) == ids[0]
+
+
+def test_the_cache_is_bounded(model, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 5000)
+    segmenter = model.prepared()
+    for k in range(20):
+        segmenter.encode([" ".join(f"word{k}{n}" for n in range(30))])
+        assert len(segmenter.known) < 60
+
+
 def test_models_with_other_normalization_are_refused(tmp_path, model):
     from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -189,6 +215,32 @@ def test_language_of_odd_rows(spark):
     assert langid.identified(docs.limit(0), labelled).count() == 0
 
 
+def test_op9_against_brute_force(spark):
+    """Dictionaries, sizes and scores made anew, text by text."""
+    import re
+
+    import zstandard
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("h", F.xxhash64("doc_id")).toPandas()
+    fold = lambda text: re.sub(r"[\W\d_]+", " ", text.lower()).encode()
+    learn = docs[np.array([zlib.crc32(str(i).encode()) % 4 != 2 for i in docs.doc_id]) & docs.lang.notna()].sort_values("h")
+    coders = {}
+    for lang, rows in learn.groupby("lang"):
+        found = []
+        for text, h in zip(rows.text[:128], rows.h[:128], strict=True):
+            at = h % (max(0, len(text) - 1000) + 1)
+            found.append(text[at : at + 1000])
+        data = b"\n".join(fold(x) for x in dict.fromkeys(found[::-1]))
+        params = zstandard.ZstdCompressionParameters.from_level(6, source_size=2048, dict_size=len(data), write_content_size=False, write_dict_id=False)
+        coders[lang] = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=params)
+    expected = {}
+    for i, text in zip(docs.doc_id, docs.text, strict=True):
+        raw = fold(text)
+        sizes = sorted((sum(len(c.compress(raw[a : a + 2048])) for a in range(0, len(raw), 2048)), lang) for lang, c in coders.items())
+        expected[i] = (sizes[0][1], 1 - sizes[0][0] / sizes[1][0]) if any(c.isalpha() for c in text) else ("und", 0.0)
+    assert {r.doc_id: (r.lang_pred, r.score) for r in queries.op9_langid(spark, SF).collect()} == expected
+
+
 def test_ambiguous_text_is_rejected():
     coders = langid.compressors({"a": b"one two three four five six" * 3, "b": b"one two three four five six" * 3})
     assert langid.classified("seven eight", coders) == ("a", 0.0)
@@ -241,6 +293,8 @@ def test_op7_over_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").toPandas()
     assert list(out.doc_id) == list(docs.doc_id) and list(out.n_chars) == list(docs.text.str.len())
     following = list(docs.text[1:]) + [docs.text[0]]
+    assert list(out.fingerprint) == [brute_digest(t) for t in docs.text]
+    assert list(out.edited_fingerprint) == [brute_digest(docdigest.edited(a, b)) for a, b in zip(docs.text, list(docs.text[1:]) + [docs.text[0]], strict=True)]
     assert list(out.edited_sha256) == [hashlib.sha256(docdigest.edited(a, b).encode()).hexdigest() for a, b in zip(docs.text, following, strict=True)]
     assert (out.near_edited > out.near_next).mean() > 0.9
 
@@ -258,11 +312,30 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>no</p>";<
 
 def test_page_text():
     page = htmltext.Page(PAGE)
-    assert page.best().path == "html>body.has-sidebar>div.content.post-#"
+    path = 0
+    for own in ("html", "body.has-sidebar", "div.content.post-#"):
+        path = htmltext.path_id(path, own)
+    assert page.best().path == path
     assert page.text([]) == "The & title\nFirst paragraph, second line with enough words to count as text.\nNext one <not a tag> with a link and more words.\none\ntwo\nc1\nc2"
 
 
-@pytest.mark.parametrize(("html", "text"), [("", ""), ("just text", "just text"), ("<p>", ""), ("<script>x", ""), ("<!-- <p>no</p> --><p>yes", "yes"), ("<p>a &am b</p>", "a &am b"), ("a < b", "a < b"), ("<div><p>x</div></p></div>y", "x\ny"), ("<br/>", ""), ("<p>" + "long " * 50000, ("long " * 50000).strip())])
+def test_class_words_leave_inline_elements_quotations_and_code():
+    page = """<article><p>See <span class='comment'># keep this</span>, <span class='legal'>s. 5</span> and <a class='related' href=x>a link</a>.</p>
+    <blockquote class='reply'>quoted</blockquote><pre><code>x = 1 <span class="comment"># one</span></code></pre><div class='notice'>Mind this.</div>
+    <p>As <math><mi>a</mi><mo>=</mo><mn>2</mn></math> shows.</p><noscript><p>Plain.</p></noscript><div class="share">Share me</div><section class="comments"><p>First!</p></section></article>"""
+    assert htmltext.Page(page).text([]) == "See # keep this, s. 5 and a link.\nquoted\nx = 1 # one\nMind this.\nAs a=2 shows.\nPlain."
+
+
+@pytest.mark.parametrize("html", ["<" + "a" * 10_000_000, "<a " * 3_400_000, "<a '" * 2_500_000 + ">", "<div>" * 100_000 + "x" + "</div>" * 100_000, "<b>" * 100_000 + "<hr>" * 100_000, "<ul><li>" * 50_000 + "x", "</x>" * 100_000, "<!--" * 100_000, "<script>" * 100_000])
+def test_time_is_in_proportion_to_the_page(html):
+    import time
+
+    began = time.process_time()
+    htmltext.Page(html).text([1])
+    assert time.process_time() - began < 10
+
+
+@pytest.mark.parametrize(("html", "text"), [("", ""), ("just text", "just text"), ("<p>", ""), ("<script>x", ""), ("<!-- <p>no</p> --><p>yes", "yes"), ("<p>a &am b</p>", "a &am b"), ("a < b", "a < b"), ("<div><p>x</div></p></div>y", "x\ny"), ("<br/>", ""), ("a <b c", "a <b c"), ("<p title='x>y</p>z", "y\nz"), ("<body><p>intro</p><div>" + "more words " * 9 + "</div></body>", "intro\n" + ("more words " * 9).strip()), ("<body><div class='lead'>" + "one two " * 9 + "</div><div class='rest'>" + "three four " * 20 + "</div></body>", ("one two " * 9).strip() + "\n" + ("three four " * 20).strip()), ("<p>" + "long " * 50000, ("long " * 50000).strip())])
 def test_odd_pages(html, text):
     assert htmltext.Page(html).text([]) == text
 
@@ -272,18 +345,24 @@ def test_sections_of_an_article_stay_together():
     body = "".join(section.format(k) for k in range(3)) + section.format(9).replace("text", "longer text") * 3
     for page in (f"<main><div>{body}</div></main>", f"<article><header><h1>T</h1></header><div class='body'>{body}</div></article>", f"<div class='wrap'><div>Menu</div><div>{body}</div></div>"):
         text = htmltext.Page(f"<body>{page}<p>Some other words</p></body>").text([])
-        assert all(f"Part {k}" in text for k in (0, 1, 2, 9)) and "other words" not in text and "Menu" not in text
+        assert all(f"Part {k}" in text for k in (0, 1, 2, 9))
+        assert ("other words" in text) == ("wrap" in page)  # without an article, all prose stays
         assert ("T\n" in text) == ("<h1>" in page)
 
 
 def test_host_consensus_beats_a_page_of_its_own(spark):
-    usual = "<body><div class='main'><p>{}</p></div><div class='other'><p>{}</p></div></body>"
+    usual = "<body><div class='x1'><p>{}</p></div><div class='y'>a line</div></body>"
+    odd = "<body><div class='x22'><p>{}</p></div><div class='z'><p>{}</p></div></body>"
     long, short = "many words of the article " * 6, "a few words of the rest " * 3
-    rows = [(k, f"http://h.org/{k}", usual.format(long, short)) for k in range(5)] + [(9, "http://H.org/9", usual.format(short, long)), (10, None, usual.format(short, long)), (None, "http://h.org/n", None), (9, "http://H.org/9", usual.format(short, long))]
+    rows = [(k, f"http://h.org/{k}", usual.format(long)) for k in range(5)] + [(9, "http://H.org/9", odd.format(long, short)), (10, None, odd.format(long, short)), (None, "http://h.org/n", None), (9, "http://H.org/9", odd.format(long, short))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("host", "paths", "path", "text", "votes")})
     out = {(r.page_id, r.url): r.text for r in htmltext.main_text(pages).collect()}
-    assert out[(9, "http://H.org/9")] == short.strip() and out[(10, None)] == long.strip() and out[(None, "http://h.org/n")] == ""
+    assert out[(9, "http://H.org/9")] == out[(0, "http://h.org/0")] == long.strip()
+    assert out[(10, None)] == f"{long.strip()}\n{short.strip()}" and out[(None, "http://h.org/n")] == ""
     assert htmltext.main_text(pages).count() == len(rows) and htmltext.main_text(pages.limit(0)).count() == 0
+    # every template of a host may win
+    votes = spark.createDataFrame([("h", k, 10 - k) for k in range(8)] + [("h", 99, 0)], "host string, path long, votes long")
+    assert htmltext.winning_paths(votes).first().paths == list(range(8))
 
 
 def test_op10_finds_the_articles(spark):
