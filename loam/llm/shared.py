@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: A folder for each local application that names none.
+_OWN: dict[str, str] = {}
 #: Rows of whole texts that a Python worker turns into objects at once. Spark bounds an Arrow batch in bytes
 #: (spark.sql.execution.arrow.maxBytesPerBatch), which holds for long texts.
 ARROW_RECORDS = 1000
@@ -16,11 +19,16 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; nothing else is known to be seen by all executors."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a local session gets one; a cluster's executors could not see it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return named.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-loam-")
+    return _OWN[app]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
