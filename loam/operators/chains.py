@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loam.sources.shared import checkpointed
+from loam.sources.shared import kept
 
 DATASET_HOPS, MODEL_HOPS = 9, 4
 FIELDS = ("asset_id", "asset_name", "asset_path", "asset_url", "status", "target_name", "migrated_at")
@@ -16,15 +16,15 @@ def walk_chains(dep: DataFrame, max_hops: int = DATASET_HOPS, mark_cycles: bool
 
     chain is an array of structs with FIELDS. Nodes that no ROOT reaches yield nothing; a cycle that one reaches
     repeats up to the cap, and is marked in a column cycle on request. Each level is a join of the frontier
-    with the edges; the frontier is checkpointed, so the plan stays as small as one level.
+    with the edges; the frontier is written as Parquet, so it is computed once and the plan stays as small as one level.
     """
     step = dep.select("role", "parent_id", F.struct(*FIELDS).alias("at")).distinct()
-    front = checkpointed(step.filter("role = 'ROOT'").select(F.col("at.asset_id").alias("asset_id"), "role", F.lit(0).alias("depth"), F.array("at").alias("chain"), *([F.lit(False).alias("cycle")] if mark_cycles else [])))
+    front = kept(step.filter("role = 'ROOT'").select(F.col("at.asset_id").alias("asset_id"), "role", F.lit(0).alias("depth"), F.array("at").alias("chain"), *([F.lit(False).alias("cycle")] if mark_cycles else [])))
     out, edges = front, step.filter("parent_id is not null")
     for depth in range(1, max_hops + 1):
         seen = [(F.col("cycle") | F.exists("chain", lambda x: x["asset_id"] == F.col("at.asset_id"))).alias("cycle")] if mark_cycles else []
         moved = front.drop("role").join(edges, F.col("asset_id") == F.col("parent_id"))
-        front = checkpointed(moved.select(F.col("at.asset_id").alias("asset_id"), "role", F.lit(depth).alias("depth"), F.array_append("chain", F.col("at")).alias("chain"), *seen))
+        front = kept(moved.select(F.col("at.asset_id").alias("asset_id"), "role", F.lit(depth).alias("depth"), F.array_append("chain", F.col("at")).alias("chain"), *seen))
         if front.isEmpty():
             break
         out = out.unionByName(front)

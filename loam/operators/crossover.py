@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loam.functions import wording as w
+from loam.functions.wording import told
+
 OWN = ("asset_id", "asset_name", "asset_path", "asset_url", "status", "target_id", "target_name", "target_url")
 
 
@@ -36,11 +39,11 @@ def fork_points(dep: DataFrame) -> DataFrame:
     done, left = F.col("children_migrated"), F.col("children_not_migrated")
     own = F.col("status")
     guidance = (
-        F.when((own == "not-migrated") & (done > 0), _text("ACTION REQUIRED — ", done.cast("string"), " child(ren) already migrated but this source dataset is not. Child data models are sitting on an unmigrated source."))
-        .when(own == "not-migrated", _text("HIGH PRIORITY — migrate this dataset first. It blocks ", F.col("total_children").cast("string"), " downstream dataset(s)."))
-        .when((own == "migrated") & (left > 0), _text("IN PROGRESS — this fork point is migrated. ", left.cast("string"), " child(ren) still pending."))
-        .when(own == "migrated", "COMPLETE — this fork point and all its children are migrated.")
-        .otherwise("REVIEW — migration not required or status unknown.")
+        F.when((own == "not-migrated") & (done > 0), told(w.FORK_AHEAD, n=done))
+        .when(own == "not-migrated", told(w.FORK_FIRST, n=F.col("total_children")))
+        .when((own == "migrated") & (left > 0), told(w.FORK_GOING, n=left))
+        .when(own == "migrated", w.FORK_DONE)
+        .otherwise(w.UNCLEAR)
     )
     out = out.withColumn("guidance", guidance).withColumnRenamed("detail", "child_details")
     return out.orderBy(F.when(own == "not-migrated", 0).otherwise(1), F.col("total_children").desc(), F.col("asset_name").asc_nulls_last())
@@ -54,13 +57,13 @@ def merge_points(dep: DataFrame) -> DataFrame:
     points = dep.filter("n_parents > 1").select(*OWN, "migrated_at", F.col("n_parents").alias("total_parents")).distinct()
     parents = dep.filter("n_parents > 1 and parent_id is not null").select(F.col("asset_id").alias("point_id"), F.col("parent_id").alias("id"), F.col("parent_name").alias("rel_name"), F.col("parent_status").alias("rel_status")).distinct()
     out = _with_related(dep, points, parents, "parents")
-    left, own, total = F.col("parents_not_migrated"), F.col("status"), F.col("total_parents").cast("string")
+    left, own, total = F.col("parents_not_migrated"), F.col("status"), F.col("total_parents")
     readiness = (
-        F.when((left > 0) & (own == "migrated"), _text("ACTION REQUIRED — this dataset is migrated but ", left.cast("string"), " parent(s) are not. Data model is sourcing from unmigrated datasets."))
-        .when(left > 0, _text("BLOCKED — ", left.cast("string"), " of ", total, " parent(s) not yet migrated. Migrate parents first."))
-        .when(own == "not-migrated", _text("READY — all ", total, " parent(s) are migrated. This dataset can be migrated now."))
-        .when(own == "migrated", "COMPLETE — all parents and this dataset are migrated.")
-        .otherwise("REVIEW — migration not required or status unknown.")
+        F.when((left > 0) & (own == "migrated"), told(w.MERGE_AHEAD, n=left))
+        .when(left > 0, told(w.MERGE_BLOCKED, n=left, total=total))
+        .when(own == "not-migrated", told(w.MERGE_READY, total=total))
+        .when(own == "migrated", w.MERGE_DONE)
+        .otherwise(w.UNCLEAR)
     )
     out = out.withColumn("readiness", readiness).withColumnRenamed("detail", "parent_details")
     rank = F.when((own == "migrated") & (left > 0), 0).when(left > 0, 1).when(own == "not-migrated", 2).otherwise(3)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from loam.functions.columns import join_key, legacy_flag, org_slug
 
+#: Keys of a log row's metadata that may hold the workbook's url, in order of preference.
+URL_KEYS = ("appUrl", "workbookUrl")
 #: What enrichment tells of a workbook id.
 ENRICHMENT = ("workbook_name", "workbook_path", "object_type", "api_url", "owner_id", "is_archived", "owner_first_name", "owner_last_name", "is_tagged", "version_tag", "parent_workbook_id")
 #: The columns of an inventory record, in order.
@@ -33,11 +35,11 @@ def changed_logs(logs: DataFrame, inventory: DataFrame, scan_schema: str) -> Dat
     return logs.join(marks, "log_name", "left").filter("_mark is null or last_modified > _mark").select(*logs.columns)
 
 
-def parsed_log(log: DataFrame) -> DataFrame:
-    """Log rows with what their JSON tells, under the first key present."""
+def parsed_log(log: DataFrame, url_keys: tuple = URL_KEYS) -> DataFrame:
+    """Log rows with what their JSON tells, under the first key present. url_keys: where the workbook's url may be."""
     meta = lambda *keys: F.coalesce(*(F.get_json_object("metadata", f"$.{k}") for k in keys))
     edit = lambda kind: F.get_json_object("edit", f"$.{kind}.blameInfo.updatedBy")
-    url = meta("sigmaUrl", "workbookUrl")
+    url = meta(*url_keys)
     return log.select(
         "log_name",
         F.col("edit_num").alias("max_edit_num"),
@@ -52,14 +54,14 @@ def parsed_log(log: DataFrame) -> DataFrame:
     )
 
 
-def latest_edit_per_table(log: DataFrame) -> DataFrame:
+def latest_edit_per_table(log: DataFrame, url_keys: tuple = URL_KEYS) -> DataFrame:
     """The row of the highest edit number of each table in each log; rows without a table name don't count.
 
     The JSON is parsed once for the name, and in full only for the rows that stay.
     """
     named = log.withColumn("_t", F.get_json_object("metadata", "$.tableName")).filter("_t is not null")
     order = Window.partitionBy("log_name", "_t").orderBy(F.col("edit_num").desc_nulls_last(), F.col("ts").desc_nulls_last(), "metadata", "edit")
-    return parsed_log(named.withColumn("_k", F.row_number().over(order)).filter("_k = 1").drop("_k", "_t"))
+    return parsed_log(named.withColumn("_k", F.row_number().over(order)).filter("_k = 1").drop("_k", "_t"), url_keys)
 
 
 def dedup_across_logs(records: DataFrame) -> DataFrame:

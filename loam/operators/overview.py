@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loam.functions import wording
 from loam.functions.columns import percent
 
 
@@ -33,7 +34,7 @@ def model_overview(dep: DataFrame) -> DataFrame:
 def leaf_assets(dep: DataFrame) -> DataFrame:
     """Nodes that nothing depends on."""
     out = _nodes(dep, "asset_name", "asset_path", "asset_url", "role", "n_parents", "n_children").filter("n_children = 0").drop("n_children")
-    kind = F.when(F.col("role") == "ROOT", "STANDALONE — no parents or children").otherwise("LEAF — end of a dependency chain")
+    kind = F.when(F.col("role") == "ROOT", wording.STANDALONE).otherwise(wording.LEAF)
     return out.withColumn("classification", kind).orderBy("role", F.col("asset_name").asc_nulls_last())
 
 
@@ -71,7 +72,7 @@ def terminal_assets(dep: DataFrame, details: DataFrame) -> DataFrame:
     """Nodes without children that no workbook reads as a dataset."""
     own = _nodes(dep, "asset_name", "asset_path", "asset_url", "status", "role", "n_parents", "n_children", "target_name", "target_url", "migrated_at").filter("n_children = 0").drop("n_children")
     read = details.filter("source_type = 'dataset' and workbook_id is not null").select("asset_id").distinct()
-    kind = F.when(F.col("status") == "migrated", "DONE — migrated, no dependants").when(F.col("status") == "not-migrated", "EASY WIN — not migrated, no dependants").when(F.col("status") == "not-required", "ORPHANED — not-required, no dependants").otherwise("REVIEW")
+    kind = F.when(F.col("status") == "migrated", wording.TERMINAL_DONE).when(F.col("status") == "not-migrated", wording.TERMINAL_EASY).when(F.col("status") == "not-required", wording.TERMINAL_ORPHANED).otherwise("REVIEW")
     out = own.join(read, "asset_id", "left_anti").withColumn("terminal_status", kind)
     return out.orderBy(F.when(F.col("status") == "not-migrated", 0).when(F.col("status") == "migrated", 1).otherwise(2), F.col("asset_name").asc_nulls_last())
 
@@ -90,7 +91,7 @@ def blocking_assets(dep: DataFrame) -> DataFrame:
     """Parents that are not migrated, with children that aren't either."""
     held = dep.filter("parent_status = 'not-migrated' and status = 'not-migrated'").groupBy(F.col("parent_id").alias("asset_id")).agg(F.countDistinct("asset_id").alias("not_migrated_children"))
     own = _nodes(dep, "asset_name", "asset_url", "status", "role", F.col("n_children").alias("total_children")).drop("status")
-    advice = F.concat(F.lit("Migrate this dataset to unblock "), F.col("not_migrated_children").cast("string"), F.lit(" downstream dataset(s)."))
+    advice = wording.told(wording.UNBLOCKS, n=F.col("not_migrated_children"))
     return own.join(held, "asset_id").withColumn("recommendation", advice).orderBy(F.col("not_migrated_children").desc(), F.col("asset_name").asc_nulls_last())
 
 
@@ -106,10 +107,9 @@ def readiness_pipeline(dep: DataFrame) -> DataFrame:
     own = _nodes(dep, "asset_name", "asset_path", "asset_url", "status", "role", "n_parents", "n_children").filter("status = 'not-migrated'").drop("status")
     waits = dep.filter("status = 'not-migrated' and parent_id is not null").groupBy("asset_id").agg(F.count_if(F.col("parent_status") == "not-migrated").alias("b"), F.count_if(F.col("parent_status") == "migrated").alias("m"))
     out = own.join(waits, "asset_id", "left").withColumn("parents_blocking", F.coalesce("b", F.lit(0))).withColumn("parents_migrated", F.coalesce("m", F.lit(0))).drop("b", "m")
-    text = lambda *p: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in p))
     held = F.col("parents_blocking")
-    out = out.withColumn("readiness", F.when(held == 0, "READY").otherwise(text("BLOCKED by ", held, " parent(s)")))
-    priority = F.when((held == 0) & (F.col("n_children") > 0), text("HIGH — migrating this unblocks ", F.col("n_children"), " dataset(s)")).when(held == 0, "LOW — ready to migrate, no downstream impact").otherwise(text("WAITING — resolve ", held, " upstream blockers first"))
+    out = out.withColumn("readiness", F.when(held == 0, "READY").otherwise(wording.told(wording.BLOCKED_BY, n=held)))
+    priority = F.when((held == 0) & (F.col("n_children") > 0), wording.told(wording.HIGH, n=F.col("n_children"))).when(held == 0, wording.LOW).otherwise(wording.told(wording.WAITING, n=held))
     return out.withColumn("priority", priority).orderBy(held, F.col("n_children").desc(), F.col("asset_name").asc_nulls_last())
 
 
@@ -126,3 +126,9 @@ def graph_edges(dep: DataFrame, details: DataFrame) -> DataFrame:
     a = dep.filter("parent_id is not null").select(F.col("parent_id").cast("string").alias("source"), F.col("asset_id").cast("string").alias("target"), F.lit("ds-ds").alias("edge_type")).distinct()
     known = details.filter("asset_id is not null").join(dep.select("asset_id"), "asset_id", "left_semi")
     return a.unionByName(known.select(F.col("asset_id").cast("string").alias("source"), F.col("workbook_id").cast("string").alias("target"), F.lit("ds-wb").alias("edge_type")).distinct())
+
+
+def register_views(dep: DataFrame, summary: DataFrame, details: DataFrame, nodes: str = "graph_nodes", edges: str = "graph_edges") -> None:
+    """The drawing's nodes and edges as temporary views of these names, for tools that speak SQL."""
+    graph_nodes(dep, summary).createOrReplaceTempView(nodes)
+    graph_edges(dep, details).createOrReplaceTempView(edges)

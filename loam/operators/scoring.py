@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loam.functions.wording import TIERS
 from loam.functions.columns import full_name, units, whole_days
 
 #: Tiers by least score, and the bounds of the bands below as (over, points).
-TIERS = ((75, "TIER 1 — Strong candidate (quarantine now)"), (50, "TIER 2 — Likely candidate (review with owner)"), (25, "TIER 3 — Monitor (check in 90 days)"), (0, "TIER 4 — Keep (active or protected)"))
 EDIT_AGE = ((365, 25), (180, 18), (90, 10), (30, 4))
 TABLE_AGE = ((365, 15), (180, 10), (90, 5))
 EDIT_COUNT = ((0, 10), (10, 8), (50, 5), (200, 2))

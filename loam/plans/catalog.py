@@ -11,8 +11,9 @@ from loam.functions.columns import legacy_flag, normalise_type, org_slug
 from loam.operators import chains, crossover, editlog, graph, mapping, overview, reports, scoring
 from loam.plans.catalog_sql import oracle_sql
 from loam.plans.fixtures import SCHEMA, as_of, view
-from loam.sources.runs import latest_run, merged
-from loam.sources.shared import checkpointed
+from loam.sources.runs import latest_run, merged, write_snapshot
+from loam.sources.listings import read_listing_pages, table_inventory
+from loam.sources.shared import kept, new_path
 
 __all__ = ["oracle_sql", "queries"]
 
@@ -35,7 +36,7 @@ def dep(spark: SparkSession, d: str) -> DataFrame:
 
 def kept_dep(spark: SparkSession, d: str) -> DataFrame:
     """dep(), computed once for queries that join it with itself."""
-    return checkpointed(dep(spark, d))
+    return kept(dep(spark, d))
 
 
 def aliased_listing(v) -> DataFrame:
@@ -88,6 +89,14 @@ def g8_build_summary(spark: SparkSession, d: str) -> DataFrame:
     return graph.build_summary(dep(spark, d))
 
 
+def g9_write_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs, appended one after the other and read back."""
+    rows, path = full_dep(spark, d).select("run_id", "role", "asset_id", "parent_id", "status"), new_path(spark, "snapshots")
+    for run in ("f9", "a1"):
+        write_snapshot(rows.filter(F.col("run_id") == run), path)
+    return spark.read.parquet(path).select(*rows.columns)
+
+
 def g10_latest_run(spark: SparkSession, d: str) -> DataFrame:
     by_time, by_id = (latest_run(full_dep(spark, d), by) for by in ("created_at", "run_id"))
     n = lambda df, name: df.groupBy("run_id").agg(F.count("*").alias("n")).withColumn("by", F.lit(name))
@@ -234,6 +243,23 @@ def w5_org_slug(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(org_slug(F.col("url")).alias("org_slug")).agg(F.count("*").alias("n"))
 
 
+def w6_table_inventory(spark: SparkSession, d: str) -> DataFrame:
+    """The folders of the logs, one table each, written for it."""
+    path = new_path(spark, "logs")
+    view(spark, d, "fx_log").write.partitionBy("log_name").parquet(path)
+    return table_inventory(spark, path).select("name", (F.col("created_at") <= F.col("last_modified")).alias("dated"), (F.col("size_bytes") > 0).alias("sized"))
+
+
+def w17_read_listing_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Listings of sources, a page for every thousand workbooks or so, written as JSON and read again."""
+    rows, path = view(spark, d, "fx_source"), new_path(spark, "pages")
+    pages = rows.groupBy(F.floor(F.col("workbook_id") / 1000).alias("page")).agg(F.collect_list(F.struct(*rows.columns)).alias("items"))
+    keyed = F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.col("items").alias("entries")))).otherwise(F.to_json(F.col("items")))
+    pages.select("page", keyed.alias("value")).repartition("page").write.partitionBy("page").text(path)
+    items, _ = read_listing_pages(spark, f"{path}/page=*", rows.schema)
+    return items.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
 def w7_orphan_flags(spark: SparkSession, d: str) -> DataFrame:
     return editlog.orphan_flags(_latest(spark, d), view(spark, d, "fx_table")).select("table_name", "is_orphaned")
 
@@ -297,7 +323,7 @@ def w15_upsert(spark: SparkSession, d: str) -> DataFrame:
     """The merge itself; its versions on disk are held by unit tests."""
     rows = view(spark, d, "fx_map").select("table_name", "scan_schema", "max_edit_num", "size_bytes", F.lit("old").alias("side"), F.expr("cast(substr(table_name, 4) as bigint)").alias("k"))
     new = rows.filter("k % 3 = 0").withColumns({"side": F.lit("new"), "max_edit_num": F.col("max_edit_num") + 1})
-    return merged(rows.filter("k % 2 = 0").drop("k"), new.drop("k"), ["table_name", "scan_schema"])
+    return merged(rows.filter("k % 2 = 0 or k % 3 <> 0").drop("k"), new.drop("k"), ["table_name", "scan_schema"])
 
 
 def w16_recent_entries(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from loam.functions import wording as w
+from loam.functions.wording import told_sql
 from loam.plans.fixtures import AS_OF, with_views
 
 TS = f"timestamp '{AS_OF}'"
@@ -53,7 +55,7 @@ LOG = """
  parsed AS (
    SELECT log_name, edit_num AS max_edit_num, CAST(ds_id AS VARCHAR) AS ds_id, ts AS last_edit_at,
           json_extract_string(metadata, '$.tableName') AS table_name, json_extract_string(metadata, '$.workbookId') AS workbook_id,
-          coalesce(json_extract_string(metadata, '$.sigmaUrl'), json_extract_string(metadata, '$.workbookUrl')) AS workbook_url,
+          coalesce(json_extract_string(metadata, '$.appUrl'), json_extract_string(metadata, '$.workbookUrl')) AS workbook_url,
           coalesce(json_extract_string(metadata, '$.elementTitle'), json_extract_string(metadata, '$.inputTableTitle')) AS input_name,
           coalesce(json_extract_string(metadata, '$.userEmail'), json_extract_string(edit, '$.updateRow.blameInfo.updatedBy'), json_extract_string(edit, '$.addRow.blameInfo.updatedBy')) AS last_edit_by
    FROM fx_log),
@@ -105,8 +107,7 @@ SCORED = f"""
    FROM aged),
  total AS (SELECT *, greatest(0, least(100, score_status + score_edit_recency + score_table_recency + score_edit_volume + score_legacy + score_storage + penalty_tagged)) AS total_score FROM parts),
  scored AS (
-   SELECT *, CASE WHEN total_score >= 75 THEN 'TIER 1 — Strong candidate (quarantine now)' WHEN total_score >= 50 THEN 'TIER 2 — Likely candidate (review with owner)'
-                  WHEN total_score >= 25 THEN 'TIER 3 — Monitor (check in 90 days)' ELSE 'TIER 4 — Keep (active or protected)' END AS tier
+   SELECT *, CASE {" ".join(f"WHEN total_score >= {least} THEN '{name}'" for least, name in w.TIERS)} END AS tier
    FROM total)"""
 
 
@@ -167,6 +168,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) FILTER (role = 'ROOT') AS root_rows, count(*) FILTER (role = 'INTERNAL') AS internal_rows, count(*) FILTER (role = 'LEAF') AS leaf_rows,
                    count(DISTINCT asset_id) FILTER (n_children > 1) AS fork_points, count(DISTINCT asset_id) FILTER (n_parents > 1) AS merge_points, count(*) AS total_rows
             FROM dep"""),
+        "g9_write_snapshot": _dep("SELECT 'a1' AS run_id, role, asset_id, parent_id, status FROM dep UNION ALL SELECT 'f9', role, asset_id, parent_id, status FROM dep WHERE asset_id % 2 = 0"),
         "g10_latest_run": _dep("""
             SELECT 'a1' AS run_id, count(*) AS n, 'created_at' AS by FROM dep UNION ALL SELECT 'f9', count(*), 'run_id' FROM dep WHERE asset_id % 2 = 0"""),
         "m1_dependency_lookup": _map("""
@@ -189,18 +191,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT w.ids[1] AS L0_asset_id, w.names[1] AS L0_asset_name, a.path AS L0_asset_path, a.url AS L0_asset_url,
                    {", ".join(f"ids[{k + 1}] AS L{k}_asset_id, names[{k + 1}] AS L{k}_asset_name" for k in range(1, 5))}, CAST(len(ids) AS INTEGER) AS chain_length
             FROM walk w JOIN fx_asset a ON a.asset_id = w.ids[1] WHERE depth = 4 OR NOT EXISTS (SELECT 1 FROM fx_edge e WHERE e.parent = w.asset_id)"""),
-        "x1_fork_points": _cross("children", "n_children", "SELECT DISTINCT parent_id AS pid, asset_id AS rid, asset_name AS rname, status AS rstatus FROM dep WHERE parent_id IS NOT NULL", """
-            CASE WHEN status = 'not-migrated' AND done > 0 THEN 'ACTION REQUIRED — ' || done || ' child(ren) already migrated but this source dataset is not. Child data models are sitting on an unmigrated source.'
-                 WHEN status = 'not-migrated' THEN 'HIGH PRIORITY — migrate this dataset first. It blocks ' || total_children || ' downstream dataset(s).'
-                 WHEN status = 'migrated' AND waiting > 0 THEN 'IN PROGRESS — this fork point is migrated. ' || waiting || ' child(ren) still pending.'
-                 WHEN status = 'migrated' THEN 'COMPLETE — this fork point and all its children are migrated.'
-                 ELSE 'REVIEW — migration not required or status unknown.' END AS guidance""", "child_details"),
-        "x2_merge_points": _cross("parents", "n_parents", "SELECT DISTINCT asset_id AS pid, parent_id AS rid, parent_name AS rname, parent_status AS rstatus FROM dep WHERE parent_id IS NOT NULL", """
-            CASE WHEN waiting > 0 AND status = 'migrated' THEN 'ACTION REQUIRED — this dataset is migrated but ' || waiting || ' parent(s) are not. Data model is sourcing from unmigrated datasets.'
-                 WHEN waiting > 0 THEN 'BLOCKED — ' || waiting || ' of ' || total_parents || ' parent(s) not yet migrated. Migrate parents first.'
-                 WHEN status = 'not-migrated' THEN 'READY — all ' || total_parents || ' parent(s) are migrated. This dataset can be migrated now.'
-                 WHEN status = 'migrated' THEN 'COMPLETE — all parents and this dataset are migrated.'
-                 ELSE 'REVIEW — migration not required or status unknown.' END AS readiness""", "parent_details", ", migrated_at"),
+        "x1_fork_points": _cross("children", "n_children", "SELECT DISTINCT parent_id AS pid, asset_id AS rid, asset_name AS rname, status AS rstatus FROM dep WHERE parent_id IS NOT NULL", f"""
+            CASE WHEN status = 'not-migrated' AND done > 0 THEN {told_sql(w.FORK_AHEAD, n="done")}
+                 WHEN status = 'not-migrated' THEN {told_sql(w.FORK_FIRST, n="total_children")}
+                 WHEN status = 'migrated' AND waiting > 0 THEN {told_sql(w.FORK_GOING, n="waiting")}
+                 WHEN status = 'migrated' THEN '{w.FORK_DONE}' ELSE '{w.UNCLEAR}' END AS guidance""", "child_details"),
+        "x2_merge_points": _cross("parents", "n_parents", "SELECT DISTINCT asset_id AS pid, parent_id AS rid, parent_name AS rname, parent_status AS rstatus FROM dep WHERE parent_id IS NOT NULL", f"""
+            CASE WHEN waiting > 0 AND status = 'migrated' THEN {told_sql(w.MERGE_AHEAD, n="waiting")}
+                 WHEN waiting > 0 THEN {told_sql(w.MERGE_BLOCKED, n="waiting", total="total_parents")}
+                 WHEN status = 'not-migrated' THEN {told_sql(w.MERGE_READY, total="total_parents")}
+                 WHEN status = 'migrated' THEN '{w.MERGE_DONE}' ELSE '{w.UNCLEAR}' END AS readiness""", "parent_details", ", migrated_at"),
         "x3_fork_points_simple": _dep("""
             SELECT n.asset_id, n.name AS asset_name, n.path AS asset_path, n.url AS asset_url, n.role, n.n_children AS direct_dependants, n.n_parents,
                    (SELECT array_to_string(list_sort(list(DISTINCT d.asset_name)), ' | ') FROM dep d WHERE d.parent_id = n.asset_id) AS dependants
@@ -212,9 +212,9 @@ def oracle_sql() -> dict[str, str]:
         "v1_model_overview": _dep(f"""
             SELECT count(*) AS total, {roles}, count(*) FILTER (n_children > 1) AS fork_points, count(*) FILTER (n_parents > 1) AS merge_points,
                    count(*) FILTER (n_children = 0) AS terminal_count, max(n_parents) AS max_parents, max(n_children) AS max_children, round(avg(n_parents), 2) AS avg_parents FROM nodes"""),
-        "v2_leaf_assets": _dep("""
+        "v2_leaf_assets": _dep(f"""
             SELECT asset_id, name AS asset_name, path AS asset_path, url AS asset_url, role, n_parents,
-                   CASE role WHEN 'ROOT' THEN 'STANDALONE — no parents or children' ELSE 'LEAF — end of a dependency chain' END AS classification
+                   CASE role WHEN 'ROOT' THEN '{w.STANDALONE}' ELSE '{w.LEAF}' END AS classification
             FROM nodes WHERE n_children = 0"""),
         "v3_migration_progress": _dep(f"""
             SELECT count(*) AS total, {of('migrated')} AS migrated, {of('not-migrated')} AS not_migrated, {of('not-required')} AS not_required,
@@ -225,27 +225,27 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS total, {book('FULLY MIGRATED')} AS fully_migrated, {book('PARTIALLY MIGRATED')} AS partially_migrated, {book('NOT MIGRATED')} AS not_migrated,
                    CAST(sum(dataset_sources) AS BIGINT) AS dataset_sources, CAST(sum(data_model_sources) AS BIGINT) AS data_model_sources, CAST(sum(table_sources) AS BIGINT) AS table_sources,
                    round(CAST({book('FULLY MIGRATED')} AS DOUBLE) * 100 / nullif(count(*), 0), 1) AS pct_fully_migrated FROM summary"""),
-        "v5_terminal_assets": _map("""
+        "v5_terminal_assets": _map(f"""
             SELECT DISTINCT asset_id, asset_name, asset_path, asset_url, status, role, n_parents, target_name, target_url, migrated_at,
-                   CASE status WHEN 'migrated' THEN 'DONE — migrated, no dependants' WHEN 'not-migrated' THEN 'EASY WIN — not migrated, no dependants'
-                               WHEN 'not-required' THEN 'ORPHANED — not-required, no dependants' ELSE 'REVIEW' END AS terminal_status
+                   CASE status WHEN 'migrated' THEN '{w.TERMINAL_DONE}' WHEN 'not-migrated' THEN '{w.TERMINAL_EASY}'
+                               WHEN 'not-required' THEN '{w.TERMINAL_ORPHANED}' ELSE 'REVIEW' END AS terminal_status
             FROM dep WHERE n_children = 0 AND asset_id NOT IN (SELECT inode_id FROM fx_source WHERE source_type = 'dataset')"""),
         "v6_child_ahead_of_parent": _dep("""
             SELECT 'CHILD AHEAD OF PARENT' AS issue_type, d.parent_id AS blocker_id, d.parent_name AS blocker_name, p.url AS blocker_url,
                    'Parent is not-migrated but child data model exists: ' || d.asset_name || ' → ' || coalesce(d.target_name, 'unknown data model') AS detail, d.asset_url AS child_url, d.target_url AS child_target_url
             FROM dep d JOIN fx_asset p ON p.asset_id = d.parent_id WHERE p.status = 'not-migrated' AND d.status = 'migrated'"""),
-        "v7_blocking_assets": _dep("""
+        "v7_blocking_assets": _dep(f"""
             SELECT n.asset_id, n.name AS asset_name, n.url AS asset_url, n.role, n.n_children AS total_children, b.c AS not_migrated_children,
-                   'Migrate this dataset to unblock ' || b.c || ' downstream dataset(s).' AS recommendation
+                   {told_sql(w.UNBLOCKS, n="b.c")} AS recommendation
             FROM nodes n JOIN (SELECT parent_id, count(DISTINCT asset_id) AS c FROM dep WHERE parent_status = 'not-migrated' AND status = 'not-migrated' GROUP BY parent_id) b ON b.parent_id = n.asset_id"""),
         "v8_repointing_candidates": _map("""
             SELECT workbook_id, s.workbook_name, workbook_url, owner_name, owner_email, migration_status, inode_id AS dataset_id, asset_name, asset_url, target_id, target_name, target_url, migrated_at
             FROM details d JOIN summary s USING (workbook_id) WHERE source_type = 'dataset' AND status = 'migrated'"""),
-        "v9_readiness_pipeline": _dep("""
+        "v9_readiness_pipeline": _dep(f"""
             SELECT asset_id, asset_name, asset_path, asset_url, role, n_parents, n_children, b AS parents_blocking, m AS parents_migrated,
-                   CASE b WHEN 0 THEN 'READY' ELSE 'BLOCKED by ' || b || ' parent(s)' END AS readiness,
-                   CASE WHEN b > 0 THEN 'WAITING — resolve ' || b || ' upstream blockers first' WHEN n_children > 0 THEN 'HIGH — migrating this unblocks ' || n_children || ' dataset(s)'
-                        ELSE 'LOW — ready to migrate, no downstream impact' END AS priority
+                   CASE b WHEN 0 THEN 'READY' ELSE {told_sql(w.BLOCKED_BY, n="b")} END AS readiness,
+                   CASE WHEN b > 0 THEN {told_sql(w.WAITING, n="b")} WHEN n_children > 0 THEN {told_sql(w.HIGH, n="n_children")}
+                        ELSE '{w.LOW}' END AS priority
             FROM (SELECT asset_id, asset_name, asset_path, asset_url, role, n_parents, n_children, count(*) FILTER (parent_status = 'not-migrated') AS b, count(*) FILTER (parent_status = 'migrated') AS m
                   FROM dep WHERE status = 'not-migrated' GROUP BY ALL)"""),
         "v10_graph_nodes": _map("""
@@ -260,6 +260,8 @@ def oracle_sql() -> dict[str, str]:
         "w3_latest_edit_per_table": _q(("fx_log",), LOG, f"SELECT {EDIT} FROM per_log"),
         "w4_dedup_across_logs": _q(("fx_log",), LOG, f"SELECT {EDIT} FROM latest"),
         "w5_org_slug": _inv("SELECT CASE WHEN scan_schema <> 'schema_0' THEN 'org' END AS org_slug, count(*) AS n FROM fx_map GROUP BY 1"),
+        "w6_table_inventory": _q(("fx_log",), "", "SELECT DISTINCT 'log_name=' || log_name AS name, true AS dated, true AS sized FROM fx_log"),
+        "w17_read_listing_pages": _q(("fx_source",), "", "SELECT workbook_id, source_type, inode_id, data_model_id, count(*) AS n FROM fx_source GROUP BY ALL"),
         "w7_orphan_flags": _q(("fx_log", "fx_table"), LOG, "SELECT table_name, upper(table_name) NOT IN (SELECT name FROM fx_table) AS is_orphaned FROM latest"),
         "w7_orphan_changes": _q(("fx_log", "fx_table", "fx_map"), LOG, """
             SELECT table_name, NOT now AS is_orphaned
@@ -296,7 +298,7 @@ def oracle_sql() -> dict[str, str]:
             FROM latest l LEFT JOIN rich r USING (workbook_id) LEFT JOIN fx_table t ON t.name = upper(l.table_name) LEFT JOIN fx_logs g USING (log_name)"""),
         "w15_upsert": _inv("""
             SELECT table_name, scan_schema, CASE WHEN k % 3 = 0 THEN max_edit_num + 1 ELSE max_edit_num END AS max_edit_num, size_bytes, CASE WHEN k % 3 = 0 THEN 'new' ELSE 'old' END AS side
-            FROM (SELECT *, CAST(substr(table_name, 4) AS BIGINT) AS k FROM fx_map) WHERE k % 2 = 0 OR k % 3 = 0"""),
+            FROM (SELECT *, CAST(substr(table_name, 4) AS BIGINT) AS k FROM fx_map)"""),
         "w16_recent_entries": _inv("SELECT table_name, table_modified_at FROM fx_map ORDER BY table_modified_at DESC NULLS LAST, table_name LIMIT 20"),
         "s1_score_components": _q(("fx_map",), SCORED, """
             SELECT table_name, days_since_edit, days_since_change, size_mb, score_status, score_edit_recency, score_table_recency, score_edit_volume, score_legacy, score_storage, penalty_tagged FROM parts"""),

@@ -34,19 +34,19 @@ VIEWS = {
         select o_orderkey as workbook_id, case when o_orderkey % 7 = 0 then null else 'wb ' || cast(o_orderkey as varchar(20)) end as name,
                'https://h/w/' || cast(o_orderkey as varchar(20)) as url, '/w' as path, 'own ' || cast(o_custkey % 12 as varchar(20)) as owner_name,
                'o@x' as owner_email, o_orderdate as created_at, o_orderdate as updated_at
-        from orders where o_orderkey % 10 = 0""",
+        from orders""",
     "fx_source": """
         select l_orderkey as workbook_id,
-               case when (l_partkey + l_suppkey) % 5 in (0, 1) then 'dataset' when (l_partkey + l_suppkey) % 5 in (2, 3) then 'data-model' else 'table' end as source_type,
-               case when (l_partkey + l_suppkey) % 5 in (0, 1) then l_partkey end as inode_id,
-               case when (l_partkey + l_suppkey) % 5 in (2, 3) then 'dm_' || cast(l_partkey as varchar(20)) end as data_model_id
-        from lineitem where l_orderkey % 10 = 0""",
+               case when l_partkey % 9 = 4 then 'table' when (l_partkey + l_suppkey) % 5 in (0, 1) then 'dataset' when (l_partkey + l_suppkey) % 5 in (2, 3) then 'data-model' else 'table' end as source_type,
+               case when l_partkey % 9 <> 4 and (l_partkey + l_suppkey) % 5 in (0, 1) then l_partkey end as inode_id,
+               case when l_partkey % 9 <> 4 and (l_partkey + l_suppkey) % 5 in (2, 3) then 'dm_' || cast(l_partkey as varchar(20)) end as data_model_id
+        from lineitem""",
     "fx_log": """
         select case when event_type in ('click', 'error') then 'wal_ds_' else 'wal_' end || event_type || '_' || cast(user_id % 4 as varchar(20)) as log_name,
                event_id as edit_num, user_id as ds_id, ts,
                case when event_id % 29 = 0 then '{{"workbookId":"x"}}'
                     when event_id % 2 = 0 then '{{"tableName":"in_' || cast(user_id as varchar(20)) || '","workbookId":"wb_' || cast(user_id as varchar(20))
-                         || '","sigmaUrl":"https://h/org' || cast(user_id % 3 as varchar(20)) || '/wb/1","elementTitle":"el_' || cast(user_id % 9 as varchar(20)) || '"}}'
+                         || '","appUrl":"https://h/org' || cast(user_id % 3 as varchar(20)) || '/wb/1","elementTitle":"el_' || cast(user_id % 9 as varchar(20)) || '"}}'
                     else '{{"tableName":"in_' || cast(user_id as varchar(20)) || '","workbookId":"wb_' || cast(user_id as varchar(20))
                          || '","workbookUrl":"https://h/org' || cast(user_id % 3 as varchar(20)) || '/wb/2","inputTableTitle":"in_' || cast(user_id % 9 as varchar(20)) || '","userEmail":"u@x"}}' end as metadata,
                case when event_id % 4 = 0 then '{{"updateRow":{{"blameInfo":{{"updatedBy":"up@x"}}}}}}' else '{{"addRow":{{"blameInfo":{{"updatedBy":"add@x"}}}}}}' end as edit

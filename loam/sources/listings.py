@@ -33,3 +33,8 @@ def table_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") ->
     return rows.groupBy("location").agg(F.min("modificationTime").alias("created_at"), F.max("modificationTime").alias("last_modified"), F.sum("length").alias("size_bytes")).select(
         F.md5("location").alias("table_id"), F.regexp_extract("location", "([^/]+)$", 1).alias("name"), "location", "created_at", "last_modified", "size_bytes"
     )
+
+
+def catalog_tables(spark: SparkSession, schema: str | None = None) -> DataFrame:
+    """(name): the tables that the session's catalog lists in a schema, the current one by default."""
+    return spark.sql(f"SHOW TABLES{f' IN {schema}' if schema else ''}").filter(~F.col("isTemporary")).select(F.col("tableName").alias("name"))

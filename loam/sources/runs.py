@@ -38,14 +38,14 @@ def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*target.columns).unionByName(once.select(*target.columns))
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """The numbers of the complete versions below the path."""
+def versions(spark: SparkSession, path: str, complete: bool = True) -> list[int]:
+    """The numbers of the complete versions below the path; or of all, also those whose write failed."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(folder):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    done = [int(n[2:]) for n in names if n.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    done = [int(n[2:]) for n in names if n.startswith("v=") and (not complete or fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))]
     return sorted(done)
 
 
@@ -55,10 +55,13 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge updates into the newest version of the table and write the result as the next one."""
-    done = versions(spark, path)
+    """Merge updates into the newest complete version of the table and write the result as a new one.
+
+    A version left behind by a failed write is passed over: its number is not used again.
+    """
+    done, all_numbers = versions(spark, path), versions(spark, path, complete=False)
     out = merged(read_version(spark, path), updates, keys) if done else updates
-    number = done[-1] + 1 if done else 0
+    number = max(all_numbers, default=-1) + 1
     out.write.parquet(f"{path}/v={number}")
     return read_version(spark, path, number)
 

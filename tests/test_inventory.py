@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loam.operators import editlog, mapping, reports, scoring
+from loam.operators import editlog, mapping, overview, reports, scoring
+from loam.operators.inventory import updated_inventory
 from loam.sources import listings, runs
 from loam.streaming.upserts import stream_latest_edits
 
@@ -134,3 +135,52 @@ def test_sources_in_scope_and_status(spark):
     books = spark.createDataFrame([(f"w{k}",) + (None,) * 7 for k in range(1, 5)], "workbook_id string, name string, url string, path string, owner_name string, owner_email string, created_at string, updated_at string")
     out = mapping.asset_summary(mapping.classify_sources(sources, assets, targets, alias), books, "r", "2001-01-01")
     assert {(r.workbook_id, r.migration_status) for r in out.collect()} == {("w1", "PARTIALLY MIGRATED"), ("w3", "FULLY MIGRATED")}
+
+
+def test_a_version_left_by_a_failed_write_is_passed_over(spark, tmp_path):
+    path, rows = f"file://{tmp_path}/t", lambda *r: spark.createDataFrame(list(r), "k long, v string")
+    runs.upsert(spark, path, rows((1, "a"), (2, "b")), ["k"])
+    (tmp_path / "t" / "v=1" / "_temporary").mkdir(parents=True)  # no _SUCCESS in it
+    out = runs.upsert(spark, path, rows((2, "c")), ["k"])
+    assert sorted(map(tuple, out.collect())) == [(1, "a"), (2, "c")]
+    assert runs.versions(spark, path) == [0, 2] and runs.versions(spark, path, complete=False) == [0, 1, 2]
+
+
+def test_a_run_of_the_fold(spark):
+    at = datetime(2001, 7, 1)
+    record = {c: None for c in editlog.RECORD} | {"scan_schema": "s", "is_orphaned": False, "is_deleted": False, "is_legacy": False, "is_tagged": False}
+    kinds = {"last_edit_at": "timestamp_ntz", "table_created_at": "timestamp_ntz", "table_modified_at": "timestamp_ntz", "log_modified_at": "timestamp_ntz", "deleted_at": "timestamp_ntz", "size_bytes": "long", "max_edit_num": "long", "is_orphaned": "boolean", "is_deleted": "boolean", "is_legacy": "boolean", "is_tagged": "boolean", "is_archived": "boolean"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in editlog.RECORD)
+    stored = [record | x for x in (
+        {"table_name": "old", "log_name": "wal_a", "log_modified_at": at, "max_edit_num": 1, "workbook_id": "w1", "is_archived": False},  # its log is as it was, its table gone
+        {"table_name": "t", "log_name": "wal_b", "log_modified_at": datetime(2001, 1, 1), "max_edit_num": 1, "workbook_id": "w2"},  # has new edits
+        {"table_name": "lost", "log_name": "wal_gone", "log_modified_at": at},  # its log is gone
+        {"table_name": "old", "log_name": "wal_a", "scan_schema": "other"})]
+    inventory = spark.createDataFrame([tuple(r[c] for c in editlog.RECORD) for r in stored], schema)
+    rows = spark.createDataFrame([log_row("wal_a", 9, "old"), log_row("wal_b", 5, "t", workbookId="w2", page="https://h/o/w"), log_row("wal_b", 6, "new", workbookId="w3")], LOG)
+    logs = spark.createDataFrame([("wal_a", at), ("wal_b", at)], "log_name string, last_modified timestamp_ntz")
+    tables = spark.createDataFrame([(n, "i", "/t", at, at, 7) for n in ("T", "NEW", "LOST")], "name string, table_id string, location string, created_at timestamp_ntz, last_modified timestamp_ntz, size_bytes long")
+    books = spark.createDataFrame([("w1", "one", "p", "u", "m", True), ("W2", "two", "p", "u", "m", None)], "id string, name string, path string, url string, owner_id string, is_archived boolean")
+    models = spark.createDataFrame([("w3", "model", "p", "u", "m")], "id string, name string, path string, url string, owner_id string")
+    tagged = spark.createDataFrame([], "workbook_id string, name string, path string, url string, owner_id string, tags array<struct<tagged_id string, name string>>")
+    members = spark.createDataFrame([("M", "Ann", "Bo")], "member_id string, first_name string, last_name string")
+    out = {(r.table_name, r.scan_schema): r for r in updated_inventory(inventory, rows, logs, tables, books, models, tagged, members, "s", now(), url_keys=("page",)).collect()}
+    assert set(out) == {("old", "s"), ("t", "s"), ("new", "s"), ("lost", "s"), ("old", "other")}
+    assert out["old", "s"].max_edit_num == 1 and out["old", "s"].is_orphaned and out["old", "s"].is_archived and not out["old", "other"].is_orphaned
+    assert (out["t", "s"].max_edit_num, out["t", "s"].workbook_name, out["t", "s"].workbook_url, out["t", "s"].owner_first_name, out["t", "s"].size_bytes) == (5, "two", "https://h/o/w", "Ann", 7)
+    assert out["new", "s"].object_type == "DATA_MODEL" and out["lost", "s"].is_deleted and not out["lost", "s"].is_orphaned and out["lost", "s"].deleted_at == datetime(2001, 8, 2)
+
+
+def test_tables_that_the_catalog_lists(spark):
+    spark.range(1).createOrReplaceTempView("wal_view")
+    spark.range(1).write.mode("overwrite").saveAsTable("wal_table")
+    assert [r.log_name for r in editlog.discover_logs(listings.catalog_tables(spark, "default")).collect()] == ["wal_table"]
+    spark.sql("DROP TABLE wal_table")
+
+
+def test_views_for_drawing(spark):
+    from loam.plans import catalog
+
+    dep, (_, _, summary, details) = catalog.dep(spark, "/root/testdata/sf0.001"), catalog._mapped(spark, "/root/testdata/sf0.001")
+    overview.register_views(dep, summary, details, "n", "e")
+    assert spark.sql("select * from e left anti join n on source = node_id").count() == 0 < spark.table("n").count()
