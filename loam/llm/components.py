@@ -1,8 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star rounds.
 
-Each round is two aggregations (combined before the shuffle) and two joins whose inputs are written
-tables, so that Spark broadcasts the small side where its size allows and splits a hub's rows
-elsewhere. Only whether a round has settled it reaches the driver.
+Each round is two aggregations (combined before the shuffle), two joins whose inputs are written tables, so that
+Spark broadcasts the small side where its size allows and splits a hub's rows elsewhere, and one distinct. The first
+aggregation also tells whether the rounds have settled; only that reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,14 +13,25 @@ from pyspark.sql import functions as F
 from loam.llm.shared import removed, written
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Hang every larger neighbour of a node on the smallest node around it."""
-    both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-    out = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    out = written(out.filter("a <> b").distinct(), "edges")
-    removed(least)
-    return out
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.union(edges.select("b", "a")).toDF("u", "v")
+
+
+def _around(edges: DataFrame) -> DataFrame:
+    """(u, m, open): the smallest of each node and its neighbours, and whether the node is not settled yet.
+
+    All is settled once every node hangs on one smaller node at most, and no node that others hang on does itself.
+    Edges are distinct.
+    """
+    below, above = F.count_if(F.col("v") < F.col("u")), F.count_if(F.col("v") > F.col("u"))
+    found = _both_ways(edges).groupBy("u").agg(F.min("v").alias("m"), below.alias("below"), above.alias("above"))
+    return written(found.select("u", F.least("u", "m").alias("m"), F.expr("below > 1 or below > 0 and above > 0").alias("open")), "around")
+
+
+def _large_star(edges: DataFrame, around: DataFrame) -> DataFrame:
+    """Hang every larger neighbour of a node on the smallest node around it; rows may repeat, but are no more than edges."""
+    out = _both_ways(edges).filter("v > u").join(around, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return written(out.filter("a <> b"), "edges")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -32,13 +43,6 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return out
 
 
-def _settled(edges: DataFrame) -> bool:
-    """Whether every node hangs on one root, and no root on another node."""
-    several = edges.groupBy("a").count().filter("count > 1").select("a")
-    below = edges.select("b").distinct().join(edges.select("a").distinct(), F.col("b") == F.col("a"), "left_semi")
-    return several.union(below).isEmpty()
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node that is not its component's smallest; edges: two long columns, no nulls.
 
@@ -46,9 +50,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     a, b = (F.col(c) for c in edges.columns)
     now = written(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct(), "edges")
-    while not _settled(now):
-        large = _large_star(now)
+    while True:
+        around = _around(now)
+        if around.filter("open").isEmpty():
+            removed(around)
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        large = _large_star(now, around)
         nxt = _small_star(large)
-        removed(large, now)
+        removed(around, large, now)
         now = nxt
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -321,7 +321,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     members = ends.join(groups, "node", "left").join(kin, "node").select(F.coalesce("root", "node").alias("bucket"), "node", "kin", "size", "f0", "f1")
     blocks = dealt(written(members, "members"), F.col("size") + 1, block_shingles).join(bodies, "node")
     links = tiles(blocks, ["node", "kin", "size", "f0", "f1", "text"]).mapInArrow(_tested(words, similarity, radius), "a long, b long")
-    roots = written(connected_components(written(links, "links").union(roots)), "roots")
+    roots = connected_components(links.union(roots))
     removed(near, bodies, kin)
     named = texts.join(roots, "node", "left").join(clashing.withColumn("clash", F.lit(True)), "node", "left")
     name = F.struct(F.coalesce("root", "node").alias("node"), F.when(F.col("clash"), F.col("other")).alias("other"))
