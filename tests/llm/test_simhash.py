@@ -139,6 +139,27 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("batch_edges", [20, 1 << 20])
+def test_components_in_batches_of_edges(spark, batch_edges):
+    rng = np.random.default_rng(5)
+    path = rng.permutation(600) - 300
+    graphs = [
+        (path[:-1], path[1:]),
+        (np.full(500, 10**9), np.arange(500)),  # a hub above all, one below
+        (np.full(500, -5), np.arange(500)),
+        (rng.integers(0, 700, 500), rng.integers(0, 700, 500)),
+        (np.array([1, 2, 2, 5]), np.array([1, 3, 3, 5])),
+    ]
+    for a, b in graphs:
+        names = {int(k): int(k) for k in (*a, *b)}
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            low, high = sorted((names[x], names[y]))
+            names = {k: low if n == high else n for k, n in names.items()}
+        edges = spark.createDataFrame(list(zip(a.tolist(), b.tolist(), strict=True)), "x long, y long")
+        found = [tuple(r) for r in connected_components(edges, batch_edges).collect()]
+        assert sorted(found) == sorted((k, n) for k, n in names.items() if k != n)
+
+
 def test_op1_against_brute_force(spark):
     from loam.llm.queries import op1_simhash
 
