@@ -2,7 +2,7 @@
 
 A text gets a dummy prefix and its spaces become U+2581, as the model file says. No piece holds that sign
 behind another one, so a text falls into chunks (a run of the sign with what follows, or a control sign that
-no longer piece holds) whose best segmentations join to the text's. All new chunks of an Arrow batch go through the
+no longer piece holds) whose best segmentations join to the text's. All new chunks of a group of texts go through the
 trie side by side, from every character at once. A place that no piece found crosses cuts a chunk further, so that
 texts without spaces fall apart too. Of each part, all of them side by side, the path of highest summed log scores is
 taken; of equal ones that whose last pieces begin first, as in SentencePiece. A character that no piece covers costs
@@ -33,13 +33,15 @@ from pyspark.sql import types as T
 from loam.llm.shared import small
 
 SPACE = "▁"
-KEPT_BYTES, CACHE_BYTES = 64, 48 << 20
+KEPT_BYTES, CACHE_BYTES = 64, 64 << 20
 #: Bytes of chunks that are segmented side by side, unless one alone is longer.
-STEP_BYTES = 1 << 19
+STEP_BYTES = 1 << 17
+#: Characters of texts that are Python objects with their chunks and ids at once, unless one text alone is longer.
+GROUP_CHARS = 1 << 19
 #: Pieces that are tried one by one rather than side by side.
 FEW = 32
-#: Bytes that a cached chunk takes besides its own and its ids'.
-OVERHEAD = 220
+#: Bytes that a cached chunk takes besides its own and its ids', and that an id takes.
+OVERHEAD, ID_BYTES = 220, 40
 UNKNOWN_PENALTY = 10.0
 
 
@@ -226,6 +228,21 @@ class Segmenter:
         return [ids[a:b] for a, b in zip([0, *upto[:-1]], upto, strict=True)]
 
     def encode(self, texts: Iterable[str | None]) -> list[list[int] | None]:
+        return [ids for group in self.groups(texts) for ids in group]
+
+    def groups(self, texts: Iterable[str | None]) -> Iterator[list[list[int] | None]]:
+        """The ids of the texts, some GROUP_CHARS of them at a time."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text or "")
+            if size >= GROUP_CHARS:
+                yield self._encoded(held)
+                held, size = [], 0
+        if held:
+            yield self._encoded(held)
+
+    def _encoded(self, texts: list[str | None]) -> list[list[int] | None]:
         split = [None if t is None else self._chunks(t) for t in texts]
         if self.held > CACHE_BYTES:
             self.known, self.held = {}, 0
@@ -242,7 +259,7 @@ class Segmenter:
         for chunk, ids in once.items():
             if len(chunk) <= KEPT_BYTES:
                 known[chunk] = ids
-                self.held += OVERHEAD + len(chunk) + 8 * len(ids)
+                self.held += OVERHEAD + len(chunk) + ID_BYTES * len(ids)
         return [None if s is None else [i for c in s for i in (known[c] if c in known else once[c])] for s in split]
 
     def _chunks(self, text: str) -> list[str]:
@@ -264,11 +281,13 @@ def encoded(docs: DataFrame, model: PieceModel, text_col: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            ids = segmenter.encode(batch.column(1).to_pylist())
-            sizes = np.array([0 if x is None else len(x) for x in ids], np.int32)
-            flat = np.fromiter((i for x in ids if x for i in x), np.int32, int(sizes.sum()))
-            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), mask=np.array([*(x is None for x in ids), False]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat))], ["row", "ids"])
+            flat, sizes, null = [np.empty(0, np.int32)], [], []
+            for ids in segmenter.groups(x.as_py() for x in batch.column(1)):
+                flat.append(np.fromiter((i for x in ids if x for i in x), np.int32))
+                sizes += [len(x or ()) for x in ids]
+                null += [x is None for x in ids]
+            offsets = pa.array(np.cumsum([0, *sizes]).astype(np.int32), mask=np.array([*null, False]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat)))], ["row", "ids"])
 
     return docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, kind)
 
