@@ -275,21 +275,24 @@ class Segmenter:
 
 
 def encoded(docs: DataFrame, model: PieceModel, text_col: str = "text") -> DataFrame:
-    """(row, ids): each row of docs as a struct with the ids of its text."""
+    """(row, ids): each row of docs as a struct with the ids of its text, a string column."""
     segmenter = model.prepared()
-    kind = docs.select(F.struct("*").alias("row")).schema.add("ids", T.ArrayType(T.IntegerType()))
+    rows = docs.select(F.struct("*").alias("row"))
+    kind = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    # the text is read within the row, so that it goes to the task once
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             flat, sizes, null = [np.empty(0, np.int32)], [], []
-            for ids in segmenter.groups(x.as_py() for x in batch.column(1)):
+            for ids in segmenter.groups(x.as_py() for x in batch.column(0).field(at)):
                 flat.append(np.fromiter((i for x in ids if x for i in x), np.int32))
                 sizes += [len(x or ()) for x in ids]
                 null += [x is None for x in ids]
             offsets = pa.array(np.cumsum([0, *sizes]).astype(np.int32), mask=np.array([*null, False]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat)))], ["row", "ids"])
 
-    return docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, kind)
+    return rows.mapInArrow(run, kind)
 
 
 def decoder(model: PieceModel):
