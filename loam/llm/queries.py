@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import chat, docdigest, htmltext, langid, mixing, pieces, simhash, topk, urlfilter, warc
+from loam.llm import chat, docdigest, htmltext, langid, linededup, mixing, phrases, pieces, simhash, topk, urlfilter, warc, whitening
 from loam.llm.shared import new_path
 
 #: A SentencePiece model file with byte pieces; its scores are used as log scores.
@@ -91,11 +91,26 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=16, scale=64)
+
+
+def op12_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), longest=3, least=10, most=2000)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op2_chat, op3_urlfilter, op4_sentencepiece, op5_topk, op6_warc, op7_docdigest, op8_mixing, op9_langid, op10_htmltext)}
+    ops = (op1_simhash, op2_chat, op3_urlfilter, op4_sentencepiece, op5_topk, op6_warc, op7_docdigest, op8_mixing, op9_langid, op10_htmltext, op11_whitening, op12_linededup, op13_phrases)
+    return {f.__name__: f for f in ops}
 
 
 _ESCAPED = r"regexp_replace({}, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -169,4 +184,37 @@ def oracle_sql() -> dict[str, str]:
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
             SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
             FROM r""",
+        "op12_linededup": f"""
+            WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+            l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS k FROM d),
+            t AS (SELECT *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l),
+            r AS (SELECT key, min(doc_id) AS first FROM t WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1)
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (first <> doc_id) AS n_dropped,
+                   sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (first IS NULL OR first = doc_id), '')) AS kept_sha256
+            FROM t LEFT JOIN r USING (key) GROUP BY doc_id""",
+        "op13_phrases": rf"""
+            WITH p AS (
+              SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+            w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+            g AS (
+              SELECT lang, 1 AS words, unnest(w) AS phrase FROM w
+              UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+              UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+            f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY lang, words, phrase),
+            s AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang),
+            c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= 10),
+            k AS (
+              SELECT *, w[1] AS head, array_to_string(w[2:], ' ') AS rest, 1 AS k FROM c
+              UNION ALL SELECT *, array_to_string(w[:2], ' '), w[3], 2 FROM c WHERE words = 3),
+            m AS (
+              SELECT k.lang, k.words, k.phrase, a, l.f AS l, r.f AS r, (1000000 * CAST(a AS HUGEINT) * a) // (CAST(l.f AS HUGEINT) * r.f) AS score, k
+              FROM k JOIN f l ON l.lang = k.lang AND l.phrase = k.head JOIN f r ON r.lang = k.lang AND r.phrase = k.rest),
+            b AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+            i AS (
+              SELECT lang, phrase, max(a) AS a FROM (
+                SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM c WHERE words = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE words = 3)
+              GROUP BY lang, phrase),
+            o AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase) WHERE i.a IS NULL OR 100 * i.a < 50 * b.a),
+            t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+            SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM t JOIN s USING (lang) WHERE rank <= 2000""",
     }
