@@ -30,12 +30,32 @@ def _with_related(dep: DataFrame, points: DataFrame, related: DataFrame, kind: s
     return points.join(counts.withColumnRenamed("point_id", "asset_id"), "asset_id")
 
 
+def _children(dep: DataFrame) -> DataFrame:
+    points = dep.filter("n_children > 1").select(F.col("asset_id").alias("point_id")).distinct()
+    found = dep.join(points, F.col("parent_id") == F.col("point_id"))
+    return found.select("point_id", F.col("asset_id").alias("id"), F.col("asset_name").alias("rel_name"), F.col("status").alias("rel_status")).distinct()
+
+
+def _parents(dep: DataFrame) -> DataFrame:
+    found = dep.filter("n_parents > 1 and parent_id is not null")
+    return found.select(F.col("asset_id").alias("point_id"), F.col("parent_id").alias("id"), F.col("parent_name").alias("rel_name"), F.col("parent_status").alias("rel_status")).distinct()
+
+
+def related(dep: DataFrame, kind: str) -> DataFrame:
+    """(point_id, related_id, name, status, url, target_url): fork points' children or merge points' parents, a row each.
+
+    What fork_points and merge_points tell of a point in one text, as rows: of a hub with very many, no row holds all.
+    kind: children or parents.
+    """
+    urls = dep.select(F.col("asset_id").alias("id"), "asset_url", "target_url").distinct()
+    found = {"children": _children, "parents": _parents}[kind](dep).join(urls, "id")
+    return found.select("point_id", F.col("id").alias("related_id"), F.col("rel_name").alias("name"), F.col("rel_status").alias("status"), F.col("asset_url").alias("url"), "target_url")
+
+
 def fork_points(dep: DataFrame) -> DataFrame:
     """Assets with several children: their children's counts by status, details and what to do."""
     points = dep.filter("n_children > 1").select(*OWN, F.col("n_children").alias("total_children")).distinct()
-    children = dep.join(points.select(F.col("asset_id").alias("point_id")).distinct(), F.col("parent_id") == F.col("point_id"))
-    children = children.select("point_id", F.col("asset_id").alias("id"), F.col("asset_name").alias("rel_name"), F.col("status").alias("rel_status")).distinct()
-    out = _with_related(dep, points, children, "children")
+    out = _with_related(dep, points, _children(dep), "children")
     done, left = F.col("children_migrated"), F.col("children_not_migrated")
     own = F.col("status")
     guidance = (
@@ -55,8 +75,7 @@ def merge_points(dep: DataFrame) -> DataFrame:
     A parent without a row of its own doesn't count; complete_missing() gives it one.
     """
     points = dep.filter("n_parents > 1").select(*OWN, "migrated_at", F.col("n_parents").alias("total_parents")).distinct()
-    parents = dep.filter("n_parents > 1 and parent_id is not null").select(F.col("asset_id").alias("point_id"), F.col("parent_id").alias("id"), F.col("parent_name").alias("rel_name"), F.col("parent_status").alias("rel_status")).distinct()
-    out = _with_related(dep, points, parents, "parents")
+    out = _with_related(dep, points, _parents(dep), "parents")
     left, own, total = F.col("parents_not_migrated"), F.col("status"), F.col("total_parents")
     readiness = (
         F.when((left > 0) & (own == "migrated"), told(w.MERGE_AHEAD, n=left))

@@ -196,6 +196,8 @@ def assemble_records(records: DataFrame, logs: DataFrame, tables: DataFrame, fre
     return rows.select("*", "_d.*").select(*RECORD)
 
 
-def recent_entries(inventory: DataFrame, n: int = 20, by: str = "table_modified_at") -> DataFrame:
-    """The n most recently modified rows."""
+def recent_entries(inventory: DataFrame, n: int = 20, by: str = "table_modified_at", scan_schema: str | None = None) -> DataFrame:
+    """The n most recently modified rows, of all schemas or of one."""
+    if scan_schema is not None:
+        inventory = inventory.filter(F.col("scan_schema") == scan_schema)
     return inventory.orderBy(F.col(by).desc_nulls_last(), "table_name").limit(n)

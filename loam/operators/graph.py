@@ -36,6 +36,17 @@ def resolve_aliases(edges: DataFrame, aliases: DataFrame) -> DataFrame:
     return out.select("child", "parent").distinct()
 
 
+def with_aliases(assets: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Assets with a copy of each under its alias ids: aliases as they are, in place of resolve_aliases.
+
+    dependency_table() of these and of unresolved edges has a ROOT row for each alias that has no parents, and no INTERNAL
+    where children and parents are named by different ids: the older rule.
+    """
+    other = aliases.select(F.col("alias"), F.col("canonical").alias("asset_id")).filter("alias <> asset_id").distinct()
+    copies = assets.join(other, "asset_id").withColumn("asset_id", F.col("alias")).select(*assets.columns)
+    return assets.unionByName(copies.join(assets.select("asset_id"), "asset_id", "left_anti"))
+
+
 def complete_missing(assets: DataFrame, referenced: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     """Assets plus a row for every referenced id (column asset_id) that they lack, with its metadata if there is any."""
     missing = referenced.select("asset_id").filter("asset_id is not null").distinct().join(assets, "asset_id", "left_anti")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.sources.runs import stamped
+from loam.sources.runs import latest_run, stamped
 
 #: What a source's details tell of the asset behind it.
 DETAILS = ("asset_id", "asset_name", "asset_path", "asset_url", "status", "role", "migrated_at", "migrated_by", "target_id", "target_name", "target_url", "target_path", "n_parents", "n_children")
@@ -21,8 +21,12 @@ def _first(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).withColumn("_k", F.row_number().over(order)).filter("_k = 1").drop("_k")
 
 
-def dependency_lookup(dep: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(assets, targets): one row per asset id, and one per target id (its smallest asset), of one run."""
+def dependency_lookup(dep: DataFrame, by: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(assets, targets): one row per asset id, and one per target id (its smallest asset), of one run.
+
+    by: of the newest run, as latest_run(by) finds it; without it all rows count.
+    """
+    dep = dep if by is None else latest_run(dep, by)
     assets = _first(dep.select(*DETAILS).distinct(), "asset_id")
     return assets, _first(assets, "target_id")
 

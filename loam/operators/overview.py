@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.functions import wording
 from loam.functions.columns import percent
+from loam.sources.runs import latest_run
 
 
 def _nodes(dep: DataFrame, *cols: str) -> DataFrame:
@@ -95,8 +96,16 @@ def blocking_assets(dep: DataFrame) -> DataFrame:
     return own.join(held, "asset_id").withColumn("recommendation", advice).orderBy(F.col("not_migrated_children").desc(), F.col("asset_name").asc_nulls_last())
 
 
-def repointing_candidates(details: DataFrame, summary: DataFrame) -> DataFrame:
-    """Workbooks that still read a dataset which is already migrated."""
+def _newest(df: DataFrame, by: str | None) -> DataFrame:
+    return df if by is None else latest_run(df, by)
+
+
+def repointing_candidates(details: DataFrame, summary: DataFrame, by: str | None = None) -> DataFrame:
+    """Workbooks that still read a dataset which is already migrated.
+
+    by: each table's own newest run counts, as latest_run(by) finds it; without it all rows count.
+    """
+    details, summary = _newest(details, by), _newest(summary, by)
     old = details.filter("source_type = 'dataset' and status = 'migrated'").select("workbook_id", F.col("inode_id").alias("dataset_id"), "asset_name", "asset_url", "target_id", "target_name", "target_url", "migrated_at")
     out = summary.select("workbook_id", "workbook_name", "workbook_url", "owner_name", "owner_email", "migration_status").join(old, "workbook_id")
     return out.orderBy(*(F.col(c).asc_nulls_last() for c in ("owner_name", "workbook_name", "asset_name")))
@@ -113,16 +122,21 @@ def readiness_pipeline(dep: DataFrame) -> DataFrame:
     return out.withColumn("priority", priority).orderBy(held, F.col("n_children").desc(), F.col("asset_name").asc_nulls_last())
 
 
-def graph_nodes(dep: DataFrame, summary: DataFrame) -> DataFrame:
-    """Assets and workbooks as nodes of one drawing."""
+def graph_nodes(dep: DataFrame, summary: DataFrame, by: str | None = None) -> DataFrame:
+    """Assets and workbooks as nodes of one drawing. by: as in repointing_candidates."""
+    dep, summary = _newest(dep, by), _newest(summary, by)
     size = F.greatest(F.col("n_children") + 10, F.lit(10)).cast("long")
     a = dep.select(F.col("asset_id").cast("string").alias("node_id"), F.col("asset_name").alias("node_name"), F.lit("dataset").alias("node_type"), F.col("role").alias("node_subtype"), "status", size.alias("symbol_size")).distinct()
     w = summary.select(F.col("workbook_id").cast("string").alias("node_id"), F.col("workbook_name").alias("node_name"), F.lit("workbook").alias("node_type"), F.col("migration_status").alias("node_subtype"), F.col("migration_status").alias("status"), F.lit(10).cast("long").alias("symbol_size")).distinct()
     return a.unionByName(w)
 
 
-def graph_edges(dep: DataFrame, details: DataFrame) -> DataFrame:
-    """Edges between assets, and from assets to the workbooks that read them. details: of one run, or of all to take stale edges too."""
+def graph_edges(dep: DataFrame, details: DataFrame, by: str | None = None, details_run: bool = True) -> DataFrame:
+    """Edges between assets, and from assets to the workbooks that read them.
+
+    by: as in repointing_candidates. details_run=False keeps all runs of details, and so stale edges, as an older rule has it.
+    """
+    dep, details = _newest(dep, by), _newest(details, by if details_run else None)
     a = dep.filter("parent_id is not null").select(F.col("parent_id").cast("string").alias("source"), F.col("asset_id").cast("string").alias("target"), F.lit("ds-ds").alias("edge_type")).distinct()
     known = details.filter("asset_id is not null").join(dep.select("asset_id"), "asset_id", "left_semi")
     return a.unionByName(known.select(F.col("asset_id").cast("string").alias("source"), F.col("workbook_id").cast("string").alias("target"), F.lit("ds-wb").alias("edge_type")).distinct())
@@ -132,3 +146,24 @@ def register_views(dep: DataFrame, summary: DataFrame, details: DataFrame, nodes
     """The drawing's nodes and edges as temporary views of these names, for tools that speak SQL."""
     graph_nodes(dep, summary).createOrReplaceTempView(nodes)
     graph_edges(dep, details).createOrReplaceTempView(edges)
+
+
+def create_views(spark: SparkSession, dep: str, summary: str, details: str, nodes: str = "graph_nodes", edges: str = "graph_edges", by: str = "created_at", details_run: bool = True) -> None:
+    """graph_nodes and graph_edges as permanent views of these names over tables of the session's catalog.
+
+    dep, summary and details name the tables; each view takes their newest runs at the time it is asked.
+    """
+    newest = lambda table: f"(SELECT * FROM {table} WHERE {by} = (SELECT max({by}) FROM {table}))"
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {nodes} AS
+        SELECT DISTINCT CAST(asset_id AS STRING) AS node_id, asset_name AS node_name, 'dataset' AS node_type, role AS node_subtype, status,
+               CAST(greatest(n_children + 10, 10) AS BIGINT) AS symbol_size
+        FROM {newest(dep)}
+        UNION ALL
+        SELECT DISTINCT CAST(workbook_id AS STRING), workbook_name, 'workbook', migration_status, migration_status, CAST(10 AS BIGINT) FROM {newest(summary)}""")
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {edges} AS
+        SELECT DISTINCT CAST(parent_id AS STRING) AS source, CAST(asset_id AS STRING) AS target, 'ds-ds' AS edge_type FROM {newest(dep)} WHERE parent_id IS NOT NULL
+        UNION ALL
+        SELECT DISTINCT CAST(asset_id AS STRING), CAST(workbook_id AS STRING), 'ds-wb' FROM {newest(details) if details_run else details}
+        WHERE asset_id IN (SELECT asset_id FROM {newest(dep)})""")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loam.functions.columns import legacy_flag, normalise_type, org_slug
 from loam.operators import chains, crossover, editlog, graph, mapping, overview, reports, scoring
-from loam.plans.catalog_sql import oracle_sql
+from loam.plans import catalog_sql, stored
 from loam.plans.fixtures import SCHEMA, as_of, view
 from loam.sources.runs import latest_run, merged, write_snapshot
 from loam.sources.listings import read_listing_pages, table_inventory
@@ -372,4 +372,9 @@ def r7_legacy_inventory(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict:
     found = [f for name, f in globals().items() if name[0] in "gmcxvwsr" and name[1:2].isdigit() and callable(f)]
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | stored.queries()
+
+
+def oracle_sql() -> dict[str, str]:
+    own = catalog_sql.oracle_sql()
+    return own | stored.oracle_sql(own)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,49 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).partitionBy("run_id").parquet(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str, created_at: str, mode: str = "append") -> None:
+    """Stamp the rows with a run and write them, partitioned by run_id; then enter the run in the table of runs below the path.
+
+    A run whose write failed is in no table of runs, so read_latest_run doesn't take it.
+    """
+    write_snapshot(stamped(df, run_id, created_at), path, mode)
+    stamped(df.sparkSession.range(1), run_id, created_at).drop("id").coalesce(1).write.mode("append").parquet(f"{path}/_runs")
+
+
+def read_latest_run(spark: SparkSession, path: str, by: str = "created_at") -> DataFrame:
+    """latest_run() of snapshots that append_run wrote, from the table of runs: only the newest run's partition is read."""
+    if by not in ("created_at", "run_id"):
+        raise ValueError(by)
+    newest = spark.read.parquet(f"{path}/_runs").orderBy(F.col(by).desc(), F.col("run_id").desc()).select("run_id").first()
+    snapshots = spark.read.parquet(path)
+    # partition values are read as what they look like, numbers for instance
+    return snapshots.filter(F.col("run_id") == F.lit(newest["run_id"]).cast(snapshots.schema["run_id"].dataType))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def log_folders(path: str, names: list[str], column: str = "log_name") -> list[str]:
+    """The folders of a table partitioned by the column, for these values: Spark escapes some signs in them."""
+    return [f"{path}/{column}=" + re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", n) for n in names]
+
+
+def read_logs(spark: SparkSession, path: str, names: DataFrame, schema: str) -> DataFrame:
+    """The rows of the named logs (log_name) of a table partitioned by log_name.
+
+    Only the folders of these logs are listed and opened, however many others there are: the driver holds their names, as
+    it does for every read. A log without a folder has no rows. schema: that of the table without log_name.
+    """
+    named = sorted(r["log_name"] for r in names.select("log_name").filter("log_name is not null").distinct().collect())
+    folders = [f for f in log_folders(path, named) if exists(spark, f)]
+    kind = f"{schema}, log_name string"
+    if not folders:
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).option("basePath", path).parquet(*folders)
+
+
 def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """target with the rows of updates: those of equal keys replaced as a whole, the others added.
 
