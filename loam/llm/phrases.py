@@ -13,7 +13,7 @@ that occur there LOWERED times its share of LEAST, once at least.
 
 Known phrases of each length are bits of a hash filter of BITS a phrase, MOST_BITS in all: that bounds what is broadcast,
 at 32 MB a length. Where it says "known" wrongly, or where it is full, more phrases are counted; none is lost. A task counts some
-GROUP_WORDS words at once, so that a hot phrase leaves it once a group; Spark adds the counts up before and after the shuffle.
+GROUP_WORDS words at once, so that a hot phrase leaves it once a group; Spark adds these counts up.
 
 Texts are read whole, A-Z lower-cased, cut into pieces at `[.,;:!?\\x0A-\\x0D]` and into words at spaces and tabs. Null texts have no words;
 a null language is `und`. Ids choose the sample alone; null and repeated ones, and repeated rows, all count.
@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 
 from loam.llm.shared import removed, small, written
 
-SHARE, LOWERED = 0.125, 0.8
+SHARE, LOWERED = 0.25, 0.8
 BITS, MOST_BITS = 16, 1 << 28
 #: Words that a task counts at once; bytes of text that are words at once, unless one text is longer.
-GROUP_WORDS, GROUP_BYTES = 1 << 22, 1 << 22
+GROUP_WORDS, GROUP_BYTES = 1 << 21, 1 << 22
 #: Rows that a task hands on at once.
 OUT_ROWS = 1 << 18
 #: What ends a piece becomes this one.
@@ -100,13 +100,17 @@ class Known:
 
 
 def phrase_hashes(langs: list[str], phrases: list[bytes]) -> np.ndarray:
-    out = np.empty(len(phrases), np.uint64)
-    for k, (lang, phrase) in enumerate(zip(langs, phrases, strict=True)):
-        first, *rest = word_hash(lang, phrase.split(b" "))
-        now = np.array([first], np.uint64)
-        for w in rest:
-            now = extended(now, np.array([w], np.uint64))
-        out[k] = now[0]
+    """The hashes that _phrases finds, of phrases of equal or different lengths."""
+    split = [p.split(b" ") for p in phrases]
+    seeds = {lang: xxhash.xxh64_intdigest(lang.encode()) for lang in set(langs)}
+    digest = xxhash.xxh64_intdigest
+    flat = np.fromiter((digest(w, seeds[lang]) for lang, words in zip(langs, split, strict=True) for w in words), np.uint64)
+    sizes = np.array([len(w) for w in split], np.int64)
+    first = np.cumsum(sizes) - sizes
+    out = flat[first]
+    for k in range(1, int(sizes.max(initial=0))):
+        longer = np.flatnonzero(sizes > k)
+        out[longer] = extended(out[longer], flat[first[longer] + k])
     return out
 
 
@@ -185,35 +189,34 @@ def _phrases(lang: str, words: list[bytes], text: np.ndarray, longest: int, now:
         first[text[::-1]] = np.arange(len(text) - 1, -1, -1)
         found = np.flatnonzero(total[1:]) + 1
         yield from rows(1, first[found], total[found])
-    # at each place: whether a phrase of the length so far begins there, its hash, its number among equal ones
-    hashes, number = hashed, text.astype(np.int64)
+    # at each place: whether a phrase of the length so far begins there, and its hash
+    hashes = hashed
     for length in range(2, longest + 1):
         end = len(text) - length + 1
         if end <= 0:
             return
-        on = on[:end] & (text[length - 1 :] > 0)
-        left, right = hashes[:end], hashes[1 : end + 1]
-        wanted = on.copy()
-        if now is not None:
-            at = np.flatnonzero(on)
-            wanted[at] = now.has(length - 1, left[at]) & now.has(length - 1, right[at])
-            if before is not None:
-                at = np.flatnonzero(wanted)
-                wanted[at] = ~(before.has(length - 1, left[at]) & before.has(length - 1, right[at]))
+        last, on = on, on[:end] & (text[length - 1 :] > 0)
+        wanted = on
+        for known, meant in ((now, True), (before, False)):
+            if known is not None:
+                parts = np.zeros(end + 1, bool)
+                at = np.flatnonzero(last)
+                parts[at] = known.has(length - 1, hashes[at])
+                both = parts[:-1] & parts[1:]
+                wanted = wanted & (both if meant else ~both)
         at = np.flatnonzero(wanted)
-        # phrases of this length as pairs of a phrase a word shorter and a word
-        keys = (number[at] << 32) | text[at + length - 1]
-        if length < longest:
-            every = np.flatnonzero(on)
-            all_keys = (number[every] << 32) | text[every + length - 1]
-            _, back = np.unique(all_keys, return_inverse=True)
-            number = np.zeros(end, np.int64)
-            number[every] = back
-            hashes = extended(hashes[:end], hashed[length - 1 :])
         if len(at):
+            # equal phrases have equal numbers of all but the last word, and an equal last word
+            number = text[at].astype(np.int64)
+            for k in range(1, length):
+                keys = (number << 32) | text[at + k]
+                if k < length - 1:
+                    number = np.unique(keys, return_inverse=True)[1]
             order = np.argsort(keys, kind="stable")
             edges = np.flatnonzero(np.concatenate(([True], np.diff(keys[order]) != 0)))
             yield from rows(length, at[order[edges]], np.diff(np.append(edges, len(order))))
+        if length < longest:
+            hashes = extended(hashes[:end], hashed[length - 1 :])
 
 
 def phrase_counts(docs: DataFrame, longest: int, now: Known | None = None, before: Known | None = None, least: int = 1) -> DataFrame:
@@ -224,7 +227,9 @@ def phrase_counts(docs: DataFrame, longest: int, now: Known | None = None, befor
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _counted(batches, longest, *shared.value)
 
-    counted = docs.mapInArrow(run, "lang string, words int, phrase string, n long").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    # a task's groups have combined what can be: most phrases are rare, and a hash table before the shuffle would only spill
+    dealt = docs.mapInArrow(run, "lang string, words int, phrase string, n long").repartition("lang", "words", "phrase")
+    counted = dealt.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     return counted.filter((F.col("n") >= least) | (F.col("words") == 1))
 
 
