@@ -1,8 +1,8 @@
 """Deterministic sharded WARC writer, and a reader.
 
-Records are sorted by page id and cut into shards: id ranges of about SHARD_BYTES of payload, from a
-histogram of at most BINS ranges of ids, whose row count is all that reaches the driver. A range heavier than
-a shard (one id may have a third of all rows) is cut further by a hash of the content. A task writes its
+Records are sorted by page id and cut into shards of SHARD_BYTES of payload: from a sorted table of ids and
+their bytes, whatever the ids' spread, so the id ranges of files meet in one id at most. An id heavier than a shard (one
+may have a third of all rows) has several, dealt by a hash of the content. A task writes its
 shards one after the other as files of gzip members, one per record, and begins a new file once the
 compressed size has reached ROLL_BYTES. Headers and digests are made anew from the payload, and there is no
 clock or random id in them, so the same rows give the same files byte for byte.
@@ -32,14 +32,18 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm.shared import small, written
+from loam.llm.shared import removed, small, written
 
-SHARD_BYTES, ROLL_BYTES, BINS = 64 << 20, 16 << 20, 2048
+SHARD_BYTES, ROLL_BYTES = 64 << 20, 16 << 20
+#: Beyond so many shards (200 TB), they are made larger: their first ids are broadcast, 24 bytes each.
+MOST_SHARDS = 3 << 20
 REVISIT_BYTES = 1000
 #: Payload bytes of the records that the reader hands on at once, unless one alone is larger.
 BATCH_BYTES = 16 << 20
@@ -156,31 +160,56 @@ def _write(folder: str, roll_bytes: int):
     return run
 
 
-def shard_plan(sizes: DataFrame, shard_bytes: int = SHARD_BYTES, bins: int = BINS):
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, page_id, w, before): the sum of w over the partition's rows before each row. batches: page_id, w."""
+    part, held = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        w = batch.column(1).to_numpy()
+        upto = held + np.cumsum(w)
+        held = int(upto[-1]) if len(upto) else held
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), part, np.int32)), batch.column(0), batch.column(1), pa.array(upto - w)], ["part", "page_id", "w", "before"])
+
+
+def shard_plan(sizes: DataFrame, shard_bytes: int = SHARD_BYTES):
     """A function that gives rows with page_id, digest and url a column shard, in the order of page_id; nulls come first.
 
-    sizes: page_id and payload_bytes of all records.
+    sizes: page_id and payload_bytes of all records. In the order of ids, an id begins in the shard that the bytes before it
+    lead to. One that is heavier than a shard has as many shards as it fills, by a hash of the content; no other
+    rows are dealt by a hash. Ids and their weights are sorted by range; what reaches the driver is the partitions' totals and
+    the first id of each shard, of at most MOST_SHARDS: beyond that, shards are made larger.
     """
-    low, high = sizes.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        low = high = 0
-    width = (high - low) // bins + 1
-    place = F.when(F.col("page_id").isNull(), F.lit(-1)).otherwise(F.floor((F.col("page_id") - low) / width)).cast("int")
-    heights = sorted((r["bin"], r["b"]) for r in sizes.groupBy(place.alias("bin")).agg(F.sum(F.col("payload_bytes") + 500).alias("b")).collect())
-    shard, held, plan = 0, 0, []
-    for at, size in heights:
-        parts = max(1, round(size / shard_bytes))
-        if held and (parts > 1 or held + size > shard_bytes):
-            shard, held = shard + 1, 0
-        plan.append((at, shard, parts))
-        shard, held = (shard + parts, 0) if parts > 1 else (shard, held + size)
-    table = sizes.sparkSession.createDataFrame(plan, "bin int, first int, parts int")
-
-    def sharded(rows: DataFrame) -> DataFrame:
-        out = rows.withColumn("bin", place).join(F.broadcast(table), "bin")  # BINS + 1 rows at most
-        return out.withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("digest", "url"), F.col("parts"))).cast("int")).drop("bin", "first", "parts")
-
-    return sharded
+    spark = sizes.sparkSession
+    ids = sizes.groupBy("page_id").agg(F.sum(F.col("payload_bytes") + 500).alias("w"))
+    ids = ids.repartitionByRange(F.col("page_id").asc_nulls_first()).sortWithinPartitions(F.col("page_id").asc_nulls_first())
+    ids = written(ids.mapInArrow(_running, "part int, page_id long, w long, before long"), "ids")
+    offsets, total = [], 0
+    for r in sorted(ids.groupBy("part").agg(F.max(F.col("before") + F.col("w")).alias("w")).collect()):
+        offsets.append((r["part"], total))
+        total += r["w"]
+    while total > shard_bytes * MOST_SHARDS:
+        shard_bytes *= 2
+    placed = ids.join(F.broadcast(spark.createDataFrame(offsets, "part int, offset long")), "part")  # a row a partition
+    start = F.floor((F.col("offset") + F.col("before")) / F.lit(shard_bytes).cast("decimal(20,0)")).cast("int")
+    placed = placed.select("page_id", start.alias("start"), F.when(F.col("w") > shard_bytes, F.ceil(F.col("w") / F.lit(shard_bytes).cast("decimal(20,0)"))).otherwise(1).cast("int").alias("parts"))
+    light = placed.filter("parts = 1").groupBy("start", "parts").agg(F.min("page_id").alias("page_id"))
+    first = light.unionByName(placed.filter("parts > 1")).select("page_id", "start", "parts").toPandas()
+    removed(ids)
+    null = first[first["page_id"].isna()]
+    first = first[first["page_id"].notna()].sort_values("page_id")
+    plan = first["page_id"].to_numpy(np.int64), first["start"].to_numpy(np.int64), first["parts"].to_numpy(np.int64)
+    of_null = int(null["parts"].max()) if len(null) else 1
+    shared = spark.sparkContext.broadcast(plan)
+
+    @F.arrow_udf("int")
+    def place(ids: pa.Array, hashed: pa.Array) -> pa.Array:
+        begins, start, parts = shared.value
+        missing = ids.is_null().to_numpy(zero_copy_only=False)
+        at = np.searchsorted(begins, ids.fill_null(0).to_numpy(), side="right") - 1
+        wide = np.where(missing, of_null, parts[at] if len(begins) else 1)
+        low = np.where(missing, 0, start[at] if len(begins) else 0)
+        return pa.array((low + hashed.to_numpy() % wide).astype(np.int32))
+
+    return lambda rows: rows.withColumn("shard", place("page_id", F.xxhash64("digest", "url")))
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
