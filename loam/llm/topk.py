@@ -8,7 +8,7 @@ counts; a task holds one tile, however long the vectors are.
 
 Components become floor(scale * x) as whole numbers, so scores are exact: products run in doubles while the largest
 possible score is below 2**53, in 64-bit integers below 2**62, else in whole numbers of any size. A score beyond what
-a long holds is given as the nearest long. Vectors that are null or hold null or non-finite components take no part;
+a long holds is given as the nearest long. Components of any finite size are exact, also where scale * x is beyond doubles. Vectors that are null or hold null or non-finite components take no part;
 null ids take no part either. Vectors are compared with those of equal length only; empty ones score 0 with each
 other. Repeated ids are separate candidates, but none for the queries of the same id; a repeated query id asks once,
 with the smallest of its vectors. Ties go to the smaller id. An empty table of candidates or of queries gives an empty
@@ -17,6 +17,9 @@ result. Only the named columns are read; others may have any name.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -34,24 +37,39 @@ def finite(vector: Column) -> Column:
 
 
 def whole(vector: Column, scale: float) -> tuple[Column, Column]:
-    """floor(scale * x) of all components, as ints; or, if one doesn't fit, as doubles, which are whole, in the second."""
-    scaled = F.transform(vector, lambda x: F.lit(float(scale)) * x.cast("double"))
+    """floor(scale * x) of all components, as ints; or, if one doesn't fit, the components themselves as doubles in the second."""
+    plain = F.transform(vector, lambda x: x.cast("double"))
+    scaled = F.transform(plain, lambda x: F.lit(float(scale)) * x)
     fits = F.forall(scaled, lambda y: F.abs(y) < float(1 << 31))
-    large = F.transform(scaled, lambda y: F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y))
-    return F.when(fits, F.transform(scaled, lambda y: F.floor(y).cast("int"))), F.when(~fits, large)
+    return F.when(fits, F.transform(scaled, lambda y: F.floor(y).cast("int"))), F.when(~fits, plain)
 
 
-def _matrix(rows: pa.Table, dim: int) -> np.ndarray:
-    """The vectors of a table with columns v and w, one of them null."""
+def _matrix(rows: pa.Table, dim: int, scale: float) -> np.ndarray:
+    """The vectors of a table with columns v and w, one of them null: doubles that are whole, or Python's integers beyond them."""
     out = np.empty((rows.num_rows, dim))
     for name in ("v", "w"):
         column = rows[name].combine_chunks()
         out[column.is_valid().to_numpy(zero_copy_only=False)] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) if dim else 0
-    return out
+    large = rows["w"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(out[large] * scale)
+    if np.isfinite(scaled).all():
+        out[large] = scaled
+        return out
+    # a component whose product no double holds is whole itself, or the scale is so large that fractions count exactly
+    exact = np.empty(out.shape, object)
+    scaled = iter(scaled.tolist())
+    for k, (row, wide) in enumerate(zip(out.tolist(), large.tolist(), strict=True)):
+        exact[k] = [math.floor(Fraction(x) * Fraction(scale)) if math.isinf(y) else int(y) for x, y in zip(row, next(scaled) if wide else row, strict=True)]
+    return exact
+
+
+def _span(x: np.ndarray) -> float | int:
+    return max((abs(v) for v in x.reshape(-1).tolist()), default=0) if x.dtype == object else float(np.abs(x).max(initial=0))
 
 
 def _products(left: np.ndarray, right: np.ndarray, top: float) -> np.ndarray:
-    """Whole-number inner products of doubles that are whole; top: no product is larger."""
+    """Whole-number inner products of doubles that are whole, or of integers; top: no product is larger."""
     if top < 2.0**53:
         return (left @ right).astype(np.int64)
     if top < 2.0**62:
@@ -65,7 +83,7 @@ def tile_top_k(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray,
     """(query_id, id, score) of each query's best k among the vectors, but for its own id."""
     order = np.argsort(ids, kind="stable")
     vectors, ids = vectors[order], ids[order]
-    top = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, queries.shape[1])
+    top = _span(queries) * _span(vectors) * max(1, queries.shape[1]) if queries.dtype == vectors.dtype else math.inf
     right, n = np.ascontiguousarray(vectors.T), len(ids)
     step, out = max(1, SCORES // n), []
     for a in range(0, len(queries), step):
@@ -86,14 +104,14 @@ def tile_top_k(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _tile(k: int):
+def _tile(k: int, scale: float):
     names = ["query_id", "shard", "id", "score"]
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({x: pa.array([], pa.int64()) for x in names})
         dim = key[0].as_py()
-        q, i, s = tile_top_k(_matrix(left, dim), left["id"].to_numpy(), _matrix(right, dim), right["id"].to_numpy(), k)
+        q, i, s = tile_top_k(_matrix(left, dim, scale), left["id"].to_numpy(), _matrix(right, dim, scale), right["id"].to_numpy(), k)
         return pa.table({"query_id": q, "shard": np.full(len(q), key[2].as_py(), np.int64), "id": i, "score": s})
 
     return run
@@ -124,7 +142,7 @@ def exact_top_k(candidates: DataFrame, queries: DataFrame, id_col: str = "vec_id
     # repeated ids would meet in one shard, so rows are dealt by their place as well
     right = vectors.withColumn("shard", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(shards))).withColumn("block", F.explode(upto(blocks)))
     tiles = left.groupBy("dim", "block", "shard").cogroup(right.groupBy("dim", "block", "shard"))
-    lists = tiles.applyInArrow(_tile(k), "query_id long, shard long, id long, score long")
+    lists = tiles.applyInArrow(_tile(k, float(scale)), "query_id long, shard long, id long, score long")
     while shards > 1:
         lists = _best(lists.withColumn("shard", F.floor(F.col("shard") / FAN)), k, "query_id", "shard").drop("rank")
         shards = -(-shards // FAN)
