@@ -4,7 +4,7 @@ A text gets a dummy prefix and its spaces become U+2581, as the model file says.
 behind another one, so a text falls into chunks (a run of the sign with what follows, or a control sign that
 no longer piece holds) whose best segmentations join to the text's. All new chunks of a group of texts go through the
 trie side by side, from every character at once. A place that no piece found crosses cuts a chunk further, so that
-texts without spaces fall apart too. Of each part, all of them side by side, the path of highest summed log scores is
+texts without spaces fall apart too. Long runs of one sign, which have no such place, are walked until the path repeats. Of each part, all of them side by side, the path of highest summed log scores is
 taken; of equal ones that whose last pieces begin first, as in SentencePiece. A character that no piece covers costs
 ten less than the lowest score and is written as byte pieces (or as the unknown piece, if the model has none). Results
 of chunks of at most KEPT_BYTES are kept in a dictionary of some CACHE_BYTES, which is emptied when full.
@@ -24,20 +24,21 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from loam.llm.shared import small
 
 SPACE = "▁"
-KEPT_BYTES, CACHE_BYTES = 64, 64 << 20
+KEPT_BYTES, CACHE_BYTES = 64, 32 << 20
+#: A sign that comes so many times in a row, or more, is a run of its own kind.
+RUN = 512
+_RUN = re.compile(rf"(?s)(.)\1{{{RUN - 1},}}")
 #: Bytes of chunks that are segmented side by side, unless one alone is longer.
 STEP_BYTES = 1 << 17
 #: Characters of texts that are Python objects with their chunks and ids at once, unless one text alone is longer.
 GROUP_CHARS = 1 << 19
+#: Lists of ids that are texts at once.
+DECODED = 256
 #: Pieces that are tried one by one rather than side by side.
 FEW = 32
 #: Bytes that a cached chunk takes besides its own and its ids', and that an id takes.
@@ -127,20 +128,18 @@ class Segmenter:
         long_signs = set("".join(t for t in texts if len(t) > 1))
         alone = "".join(c for c in "\n\r\t" if c not in long_signs)
         cuts = all(SPACE not in t.lstrip(SPACE) for t in texts)
-        self.chunks = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]" if alone else "") if cuts else "(?s:.+)").findall
+        self.pattern = f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]" if alone else "") if cuts else "(?s:.+)"
+        self.chunks = re.compile(self.pattern).findall
         self.known: dict[str, list[int]] = {}
         self.held = 0
         self.byte_ids = np.array([-1 if k is None else k for k in self.bytes], np.int32)
-        self.plain = [
-            b"" if t == 3 else bytes([int(p[3:5], 16)]) if t == 6 else " ⁇ ".encode() if t == 2 else p.replace(SPACE, " ").encode()
-            for p, t in zip(model.pieces, model.kinds, strict=True)
-        ]
 
     def __getstate__(self) -> dict:
-        return {"model": self.model}
+        """All but the cache and what pickle can't take: a task gets the arrays, not the work of making them."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("chunks", "known", "held")}
 
     def __setstate__(self, state: dict) -> None:
-        self.__init__(state["model"])
+        self.__dict__.update(state, chunks=re.compile(state["pattern"]).findall, known={}, held=0)
 
     def _edges(self, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, piece) of all pieces in the text, and of characters that no piece is (piece -1)."""
@@ -166,6 +165,83 @@ class Segmenter:
         found.append((at[bare], wide[bare], np.full(int(bare.sum()), -1, np.int32)))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
+    def _from(self, raw: bytes, at: int) -> list[tuple[int, int, float]]:
+        """(length, piece, gain) of the pieces at a place, and of its character if that is none (piece -1)."""
+        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        lead = raw[at]
+        wide = 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+        node, out = 0, []
+        for k in range(at, min(at + self.trie.depth, len(raw))):
+            to = int(base[node]) + raw[k]
+            if check[to] != node:
+                break
+            node = to
+            if value[node] >= 0:
+                out.append((k + 1 - at, int(value[node]), float(self.model.scores[value[node]])))
+        return out if any(n == wide for n, _, _ in out) else [*out, (wide, -1, self.lowest)]
+
+    def _with_runs(self, chunk: str) -> list[int]:
+        """The ids of a chunk that holds long runs of a sign, place by place; within a run only until its path repeats.
+
+        What follows from a place depends on the text ahead and on how the scores of paths that reach beyond it differ. Once
+        those differences are what they were at an earlier place of the run, all choices between the two repeat to its end.
+        Where scores have fractions, it may settle for another of several paths that are equal but for rounding.
+        """
+        raw, depth = chunk.encode(), self.trie.depth
+        size = len(raw)
+        best, last, named = np.full(size + depth + 1, -np.inf), np.zeros(size + depth + 1, np.int64), np.full(size + depth + 1, -1, np.int64)
+        best[0] = 0
+        runs, at = [], 0
+        for m in _RUN.finditer(chunk):
+            a = len(chunk[: m.start()].encode()) if not runs else runs[-1][1] + len(chunk[at : m.start()].encode())
+            runs.append((a, a + len(m[0].encode()), len(m[1].encode())))
+            at = m.end()
+        run, reach, i, same, seen = iter([*runs, (size, size, 1)]), 0, 0, None, {}
+        low, high, sign = next(run)
+        while i < size:
+            if i >= high:
+                (low, high, sign), same, seen = next(run), None, {}
+            inside = low <= i and i + depth <= high
+            if reach <= i:
+                best[i] = 0
+            if inside:
+                ahead = slice(i, i + depth, sign)
+                # where the paths come from is a part of it, as of equal ones the first stays
+                found = np.isfinite(best[ahead][1:])
+                mark = (best[ahead] - best[i]).tobytes() + np.where(found, last[ahead][1:] - i, 0).tobytes() + named[ahead][1:].tobytes() + bytes([reach > i])
+                if mark in seen and (period := i - seen[mark]) and (times := (high - depth - i) // period) > 0:
+                    gain, far = float(best[i] - best[i - period]) if reach > i else 0.0, i + times * period
+                    end = min(depth, size - i)
+                    coming = best[i : i + end + 1].copy(), last[i : i + end + 1] - i, named[i : i + end + 1].copy()
+                    back = last[i - period + 1 : i + 1] - np.arange(i - period + 1, i + 1)
+                    last[i + 1 : far + 1] = np.tile(back, times) + np.arange(i + 1, far + 1)
+                    named[i + 1 : far + 1] = np.tile(named[i - period + 1 : i + 1], times)
+                    best[far : far + end + 1], last[far + 1 : far + end + 1], named[far + 1 : far + end + 1] = coming[0] + times * gain, coming[1][1:] + far, coming[2][1:]
+                    reach, i, seen = reach + far - i, far, {}
+                    continue
+                if len(seen) == 4 * FEW * depth:  # no path repeats, as scores with fractions are rounded
+                    seen = {}
+                seen[mark] = i
+                same = edges = same or self._from(raw, i)
+            else:
+                edges = self._from(raw, i)
+            for n, piece, gain in edges:
+                if best[i] + gain > best[i + n]:
+                    best[i + n], last[i + n], named[i + n] = best[i] + gain, i, piece
+                reach = max(reach, i + n)
+            i += sign if inside else 1
+            while i < size and raw[i] & 0xC0 == 0x80:
+                i += 1
+        ids, at, came, names = [], size, last.tolist(), named.tolist()
+        while at:
+            if names[at] >= 0:
+                ids.append(names[at])
+            else:
+                spelled = [self.bytes[b] for b in raw[came[at] : at]]
+                ids += [self.unknown] if None in spelled else spelled[::-1]
+            at = came[at]
+        return ids[::-1]
+
     @staticmethod
     def _one_by_one(start, end, piece, gain, cut, best, last, named) -> None:
         score, came = best.tolist(), {}
@@ -249,6 +325,9 @@ class Segmenter:
         known, new, size, once = self.known, [], 0, {}
         wanted = dict.fromkeys(c for s in split if s for c in s if c not in known)
         for chunk in wanted:
+            if len(chunk) >= RUN and _RUN.search(chunk):
+                once[chunk] = self._with_runs(chunk)
+                continue
             new.append(chunk)
             size += len(chunk)
             if size >= STEP_BYTES:
@@ -268,40 +347,56 @@ class Segmenter:
         text = " " + text if self.model.dummy_prefix else text
         return self.chunks(text.replace(" ", SPACE) if self.model.escape else text)
 
+    def decode(self, ids: Iterable[int]) -> str:
+        return Decoder.of(self.model).decode(ids)
+
+
+@dataclass
+class Decoder:
+    plain: list[bytes]
+    dummy_prefix: bool
+
+    @classmethod
+    def of(cls, model: PieceModel) -> Decoder:
+        kinds = zip(model.pieces, model.kinds, strict=True)
+        return cls([b"" if t == 3 else bytes([int(p[3:5], 16)]) if t == 6 else " ⁇ ".encode() if t == 2 else p.replace(SPACE, " ").encode() for p, t in kinds], model.dummy_prefix)
+
     def decode(self, ids: Iterable[int]) -> str:
         plain = self.plain
         text = b"".join([plain[i] for i in ids]).decode(errors="replace")
-        return text.removeprefix(" ") if self.model.dummy_prefix else text
+        return text.removeprefix(" ") if self.dummy_prefix else text
 
 
-def encoded(docs: DataFrame, model: PieceModel, text_col: str = "text") -> DataFrame:
-    """(row, ids): each row of docs as a struct with the ids of its text, a string column."""
+def encoder(model: PieceModel):
+    """A function of a column of texts to ids. Arrow brings a task the texts alone; it hands on a bounded group at a time."""
     segmenter = model.prepared()
-    rows = docs.select(F.struct("*").alias("row"))
-    kind = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    # the text is read within the row, so that it goes to the task once
-    at = [c.lower() for c in docs.columns].index(text_col.lower())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            flat, sizes, null = [np.empty(0, np.int32)], [], []
-            for ids in segmenter.groups(x.as_py() for x in batch.column(0).field(at)):
-                flat.append(np.fromiter((i for x in ids if x for i in x), np.int32))
-                sizes += [len(x or ()) for x in ids]
-                null += [x is None for x in ids]
-            offsets = pa.array(np.cumsum([0, *sizes]).astype(np.int32), mask=np.array([*null, False]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat)))], ["row", "ids"])
+    @F.arrow_udf("array<int>")
+    def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            for ids in segmenter.groups(x.as_py() for x in part):
+                flat = np.fromiter((i for x in ids if x for i in x), np.int32)
+                offsets = np.cumsum([0, *(len(x or ()) for x in ids)]).astype(np.int32)
+                yield pa.ListArray.from_arrays(pa.array(offsets, mask=np.array([*(x is None for x in ids), False])), pa.array(flat))
 
-    return rows.mapInArrow(run, kind)
+    return encode
+
+
+def encoded(docs: DataFrame, model: PieceModel, text_col: str = "text") -> DataFrame:
+    """(row, ids): each row of docs as a struct with the ids of its text, a string column."""
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.select("row", encoder(model)(F.col("row").getField(text_col)).alias("ids"))
 
 
 def decoder(model: PieceModel):
     """A function of a column of ids to text."""
-    segmenter = model.prepared()
+    plain = Decoder.of(model)
 
-    @F.pandas_udf("string")
-    def decode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def decode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            yield pd.Series([None if x is None else segmenter.decode(x.tolist()) for x in part], dtype=object)
+            for at in range(0, max(1, len(part)), DECODED):
+                some = part.slice(at, DECODED)
+                yield pa.array([plain.decode(x.values.to_numpy()) if x.is_valid else None for x in some], pa.string())
 
     return decode
