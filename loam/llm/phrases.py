@@ -38,6 +38,8 @@ SHARE, LOWERED = 0.25, 0.8
 BITS, MOST_BITS = 16, 1 << 28
 #: Words that a task counts at once; bytes of text that are words at once, unless one text is longer.
 GROUP_WORDS, GROUP_BYTES = 1 << 21, 1 << 22
+#: Parts of a language whose phrases are ranked apart first.
+PARTS = 64
 #: Rows that a task hands on at once.
 OUT_ROWS = 1 << 18
 #: What ends a piece becomes this one.
@@ -310,6 +312,9 @@ def top_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(lang, rank, phrase, a, l, r, n, score): each language's first phrases by score, count and phrase."""
     phrases, sizes = frequent_phrases(docs, id_col, text_col, lang_col, longest, least, share)
     best = maximal(scored(phrases, sizes, longest), 50, longest)
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    # the first of each part of a language, then of the language: no task sorts more than PARTS times `most` of them
+    for keys in ([F.col("lang"), F.pmod(F.xxhash64("phrase"), F.lit(PARTS))], [F.col("lang")]):
+        order = Window.partitionBy(*keys).orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+        best = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    ranked = best
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
