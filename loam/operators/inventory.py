@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.operators import editlog
-from loam.sources.buckets import read_buckets, upsert_buckets
-from loam.sources.runs import exists, merged
+from loam.sources.buckets import has_buckets, read_buckets, upsert_buckets
+from loam.sources.runs import merged
 from loam.sources.shared import kept
 
 KEYS = ["table_name", "scan_schema"]
@@ -54,5 +54,5 @@ def run_inventory(spark: SparkSession, path: str, empty: DataFrame, *inputs, buc
 
     empty: the inventory to begin with, where there is none yet. inputs and options: those of updated_inventory, from rows on.
     """
-    before = read_buckets(spark, path) if exists(spark, path) else empty
+    before = read_buckets(spark, path) if has_buckets(spark, path) else empty
     return upsert_buckets(spark, path, kept(changed_records(before, updated_inventory(before, *inputs, **options))), KEYS, buckets)

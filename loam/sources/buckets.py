@@ -37,6 +37,13 @@ def recovered(spark: SparkSession, path: str) -> bool:
     return done
 
 
+def has_buckets(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at the path, once recovered(): the first upsert may have failed before it made one."""
+    recovered(spark, path)
+    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}=*")
+    return bool(folders.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folders))
+
+
 def _replace(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
 
@@ -52,9 +59,8 @@ def upsert_buckets(spark: SparkSession, path: str, updates: DataFrame, keys: lis
 
     buckets must stay what it was when the table was made. Rows with a null key part are added each time, as in merged().
     """
-    recovered(spark, path)
     dealt = updates.withColumn(BUCKET, bucket_of(keys, buckets))
-    if exists(spark, path):
+    if has_buckets(spark, path):
         # no more than `buckets` numbers
         own = [r[BUCKET] for r in dealt.select(BUCKET).distinct().collect()]
         if not own:

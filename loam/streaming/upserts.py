@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from loam.operators.editlog import dedup_across_logs, latest_edit_per_table
-from loam.sources.buckets import read_buckets, upsert_buckets
-from loam.sources.runs import exists, read_version, upsert, versions
+from loam.sources.buckets import has_buckets, read_buckets, upsert_buckets
+from loam.sources.runs import read_version, upsert, versions
 from loam.sources.shared import kept
 
 
@@ -21,7 +21,7 @@ def stream_latest_edits(log: DataFrame, path: str, checkpoint: str, available_no
     def fold(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         newest = dedup_across_logs(latest_edit_per_table(batch))
-        there = exists(spark, path) if buckets else bool(versions(spark, path))
+        there = has_buckets(spark, path) if buckets else bool(versions(spark, path))
         if there:
             now = read_buckets(spark, path) if buckets else read_version(spark, path)
             held = now.join(newest.select("table_name"), "table_name", "left_semi").select(*newest.columns)

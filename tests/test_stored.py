@@ -132,6 +132,12 @@ def test_an_upsert_that_failed_is_finished_or_dropped(spark, tmp_path):
     fresh = rows((1, "new"), (2, "b")).withColumn(buckets.BUCKET, buckets.bucket_of(["k"], 4))
     fresh.write.parquet(f"{path}/_pending")
     assert sorted(map(tuple, buckets.upsert_buckets(spark, path, rows((3, "c")), ["k"], 4).collect())) == [(1, "new"), (2, "b"), (3, "c")]
+    # the first upsert of all failed
+    first = f"file://{tmp_path}/u"
+    fresh.write.parquet(f"{first}/_pending")
+    os.remove(tmp_path / "u" / "_pending" / "_SUCCESS")
+    assert not buckets.has_buckets(spark, first)
+    assert buckets.upsert_buckets(spark, first, rows((3, "c")), ["k"], 4).count() == 1
 
 
 def test_latest_run_reads_one_partition(spark, tmp_path):
