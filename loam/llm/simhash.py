@@ -3,7 +3,9 @@
 1. A fingerprint per text: every bit is the majority of that bit over the XXH64 hashes of the text's word
    shingles. Lanes of 64 bits after the first take the majority over the hashes, mixed again.
 2. Texts meet in buckets. For radius r, 64 bits are cut into r + 2 blocks, and a table is keyed by each pair of
-   blocks: two of them are equal in every pair within the radius, so no link is lost. No bucket is capped.
+   blocks: two of them are equal in every pair within the radius, so no link is lost. No bucket is capped. Where
+   there are more fingerprints, more and smaller blocks are cut and more of them make up a key, so that buckets
+   don't grow with their number.
    (neardup.py brings texts together by rare shingles instead.)
 3. A bucket is compared in vertical bit planes: plane k holds bit k of 64 fingerprints a word. Differing
    bits are summed by carry-save counters for 64 pairs at once, and a block of pairs is abandoned once all
@@ -20,6 +22,7 @@ table gives an empty one. Only the named columns are read; others may have any n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -35,6 +38,8 @@ from loam.llm.shared import removed, small, written
 BLOCK_ROWS = 2048
 #: Runs up to this length are compared at all offsets within one set of planes.
 SHORT_RUN = 64
+#: Fingerprints that a bucket of equal bits may hold on average before keys get longer.
+BUCKET_ROWS = 16
 #: Rows gathered before a comparison, unless one run alone is longer.
 BUFFER_ROWS = 32768
 #: Hashes voted on at once in a very long text.
@@ -89,11 +94,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp long")
 
 
-def block_masks(radius: int) -> list[tuple[int, ...]]:
-    """A mask for each pair of the radius + 2 blocks that 64 bits are cut into: none of the links is lost."""
-    cuts = [round(64 * k / (radius + 2)) for k in range(radius + 3)]
+def block_masks(radius: int, nodes: int = 0) -> list[tuple[int, ...]]:
+    """A mask for every choice of all but `radius` of the blocks that 64 bits are cut into: none of the links is lost.
+
+    There are radius + 2 blocks, and one more for as long as a mask's bits leave over BUCKET_ROWS of so many nodes in a bucket.
+    """
+    n = radius + 2
+    while nodes / 2 ** (64 * (n - radius) / n) > BUCKET_ROWS:
+        n += 1
+    cuts = [round(64 * k / n) for k in range(n + 1)]
     blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return [(x | y,) for x, y in combinations(blocks, 2)]
+    return [(reduce(int.__or__, chosen),) for chosen in combinations(blocks, n - radius)]
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -342,7 +353,7 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fp, component_id) for every row; component_id is the smallest id reachable over links of 64-bit fingerprints."""
     own = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = written(own.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    links = fingerprint_links(nodes.select(F.col("fp").alias("node"), F.col("fp").alias("f0")), block_masks(radius), radius)
+    links = fingerprint_links(nodes.select(F.col("fp").alias("node"), F.col("fp").alias("f0")), block_masks(radius, nodes.count()), radius)
     roots = written(connected_components(links), "roots")
     linked = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = written(linked.groupBy("root").agg(F.min("least").alias("component_id")), "class-names")

@@ -111,7 +111,9 @@ def test_block_masks_lose_no_link():
     rng = np.random.default_rng(2)
     for _ in range(200):
         flip = sum(1 << int(k) for k in rng.choice(64, 4, replace=False))
-        assert any(not flip & m for (m,) in simhash.block_masks(4))
+        for nodes in (0, 10**8, 10**10, 10**12):
+            assert any(not flip & m for (m,) in simhash.block_masks(4, nodes))
+    assert [len(simhash.block_masks(4, n)) for n in (0, 10**7, 10**8, 10**10)] == [15, 15, 35, 70]
 
 
 def test_split_buckets_give_the_same_links(spark):
