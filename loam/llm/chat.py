@@ -16,7 +16,8 @@ or close a turn, here or in templates that use these strings.
 Null roles and texts are empty. Rows of equal turn number stand in the order of role and text; null turn
 numbers come first; rows of a null conversation id are one conversation. Repeated rows stay. An empty
 table gives no examples. A conversation is put together in one task, since its longest example is the
-whole of it.
+whole of it. Texts of any length are written whole; as each example repeats what is before it, a conversation takes the
+square of its turns. Only the named columns are read; others may have any name.
 """
 
 from __future__ import annotations

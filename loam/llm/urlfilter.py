@@ -12,7 +12,8 @@ and a batch of URLs is read position by position with one such step for all of t
 
 Null URLs and URLs without `://` have an empty host and path, which only globs that match "." can hit; they
 are allowed by default. Repeated rows get equal verdicts; an empty table gives an empty one. Globs see
-UTF-8 bytes, so `?` takes one byte.
+UTF-8 bytes, so `?` takes one byte. URLs of any length are read whole, the long ones of a batch beyond the others' ends.
+All is functions of one column, so a table's other columns may have any name.
 """
 
 from __future__ import annotations
