@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,11 +75,12 @@ def classified(text: str, coders: dict[str, zstandard.ZstdCompressor]) -> tuple[
 def predictor(dictionaries: dict[str, bytes], level: int = LEVEL):
     """A function of a text column to (lang, score)."""
 
-    @F.pandas_udf("lang string, score double")
-    def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double")
+    def predict(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coders = compressors(dictionaries, level)
         for part in parts:
-            yield pd.DataFrame([classified(x, coders) if x is not None else (UNDETERMINED, 0.0) for x in part], columns=["lang", "score"])
+            found = [classified(x.as_py(), coders) if x.is_valid else (UNDETERMINED, 0.0) for x in part]
+            yield pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["lang", "score"])
 
     def of(text: Column) -> Column:
         return predict(F.when(text.rlike(r"\p{L}"), text))

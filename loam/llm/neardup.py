@@ -2,7 +2,7 @@
 
 Texts are alike if the Jaccard similarity of the sets of their word shingles is at least a threshold.
 
-1. Sketches. A text's shingles vote once each on a fingerprint of 128 bits. Equal texts are told by two 64-bit
+1. Sketches. A text's shingles vote once each on a fingerprint of 256 bits. Equal texts are told by two 64-bit
    hashes and are one node.
 2. Meetings. Two sets alike share one of the few shingles of each that are rarest in the corpus (prefix filtering),
    so texts that share such a shingle meet; every pair alike does. Shingles with the same texts are one meeting.
@@ -14,9 +14,10 @@ Texts are alike if the Jaccard similarity of the sets of their word shingles is
    exact test, unless a link already found joins them.
 5. Components of the links that passed are classes. Of each the smallest id stays.
 
-Two sets alike differ in at most 19.4 of 128 bits on average, and exceed RADIUS with the chance that `missed` states
-(under 1e-8 for large sets, under 1e-6 for the worst small ones). With radius 128 nothing is left to chance: that is the exact mode,
-which tests all pairs that meet. No meeting, group or text is capped or sampled.
+Two sets alike differ in at most 38.8 of 256 bits on average, and exceed RADIUS with the chance that `missed` states
+(under 1e-10 for large sets, about 1e-6 for the worst small ones). Texts that share a tenth of their shingles, such as pages of a
+template, come within it once in some millions of pairs, so their candidates stay few. With radius 256 nothing is
+left to chance: that is the exact mode, which tests all pairs that meet. No meeting, group or text is capped or sampled.
 
 Null texts and texts without words are equal to each other as sets. Repeated rows, and rows of equal text, leave one
 row. Rows with a null id take part, last. Texts of any length are read whole. An empty table gives an empty one. All
@@ -37,11 +38,12 @@ from loam.llm.components import connected_components
 from loam.llm.shared import removed, small, written
 from loam.llm.simhash import BLOCK_ROWS, compare, fingerprint, run_pairs, shingle_hashes, tiles
 
-#: Of 128 bits.
-RADIUS = 48
+#: Of 64 bits each in a fingerprint; and the bits that may differ.
+LANES, RADIUS = 4, 80
+FPS = tuple(f"f{k}" for k in range(LANES))
 #: Shingles whose counts order the others by rarity; it changes how many pairs meet, not which are found.
 COMMON = 200_000
-#: Shingles seen so often in a sample of texts are dealt out by text as well, since one task may not hold their texts.
+#: Shingles by which so many texts would meet are dealt out by text as well, since one task may not hold their texts.
 HOT_ROWS, SALTS = 50_000, 256
 #: Shingles held while they are counted.
 COUNT_ROWS = 1 << 20
@@ -51,7 +53,7 @@ BLOCK_SHINGLES = 1 << 19
 BUFFER_BYTES = 1 << 24
 
 
-def missed(similarity: float = 0.8, radius: int = RADIUS, bits: int = 128) -> float:
+def missed(similarity: float = 0.8, radius: int = RADIUS, bits: int = 64 * LANES) -> float:
     """The chance that two large sets of equal size and this similarity differ in more bits than the radius."""
     p = acos(2 * similarity / (1 + similarity)) / pi
     return sum(comb(bits, k) * p**k * (1 - p) ** (bits - k) for k in range(radius + 1, bits + 1))
@@ -82,7 +84,7 @@ def common_shingles(texts: DataFrame, words: int = 5, most: int = COMMON) -> tup
     """The `most` shingles with the highest counts, ascending, and the counts; texts: (node, text).
 
     A count is the texts that hold it, but for texts whose neighbours within some million shingles don't. The
-    result only orders shingles by rarity and deals out the hottest, so none need be found.
+    result only orders shingles by rarity, so none need be found.
     """
 
     def counted(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -105,15 +107,13 @@ def common_shingles(texts: DataFrame, words: int = 5, most: int = COMMON) -> tup
     return found[order], count[order]
 
 
-def rare_first(found: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """A shingle set, least common first, in an order that is the same for all texts; with the known counts."""
+def rare_first(found: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A shingle set, least common first, in an order that is the same for all texts."""
     names, counts = common
     if not len(names):
-        return np.sort(found), np.zeros(len(found), np.int64)
+        return np.sort(found)
     at = np.minimum(np.searchsorted(names, found), len(names) - 1)
-    known = np.where(names[at] == found, counts[at], 0)
-    order = np.lexsort((found, known))
-    return found[order], known[order]
+    return found[np.lexsort((found, np.where(names[at] == found, counts[at], 0)))]
 
 
 def prefix_length(size: int, similarity: float) -> int:
@@ -122,19 +122,19 @@ def prefix_length(size: int, similarity: float) -> int:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, node, other, size, f0, f1): one row per document; size is that of its shingle set."""
+    """(id, node, other, size, FPS): one row per document; size is that of its shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             sets = [shingle_set(x.as_py(), words) for x in batch.column(3)]
-            lanes = np.array([fingerprint(x, 2) for x in sets], np.uint64).reshape(-1, 2)
+            lanes = np.array([fingerprint(x, LANES) for x in sets], np.uint64).reshape(-1, LANES)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([len(x) for x in sets], pa.int64()), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in lanes.T)], ["id", "node", "other", "size", "f0", "f1"]
+                [*batch.columns[:3], pa.array([len(x) for x in sets], pa.int64()), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in lanes.T)], ["id", "node", "other", "size", *FPS]
             )
 
     node, other = text_hashes(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), node.alias("node"), other.alias("other"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, node long, other long, size long, f0 long, f1 long")
+    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, node long, other long, size long, {', '.join(f'{f} long' for f in FPS)}")
 
 
 def meetings(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], words: int = 5, similarity: float = 0.8, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -142,29 +142,32 @@ def meetings(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], words: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, found in _fresh(batches):
-            kept, counts, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
+            kept, sizes = [np.empty(0, np.uint64)], []
             for x in found:
-                rare, known = rare_first(shingle_set(x, words), common)
+                rare = rare_first(shingle_set(x, words), common)
                 n = prefix_length(len(rare), similarity) if len(rare) else 0
                 # texts without words meet each other
                 kept.append(rare[:n] if n else np.zeros(1, np.uint64))
-                counts.append(known[:n] if n else np.zeros(1, np.int64))
                 sizes.append(max(n, 1))
-            buckets, hot = np.concatenate(kept).view(np.int64), np.concatenate(counts) >= hot_rows
-            yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(np.repeat(np.array(nodes, np.int64), sizes)), pa.array(hot)], ["bucket", "node", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), sizes))], ["bucket", "node"])
 
-    rows = texts.mapInArrow(run, "bucket long, node long, hot boolean")
+    held = written(texts.mapInArrow(run, "bucket long, node long"), "meeting-rows")
+    # combined before the shuffle; there are no more of them than hot_rows goes into the rows
+    hot = written(held.groupBy("bucket").count().filter(F.col("count") >= hot_rows).select("bucket", F.lit(True).alias("hot")), "hot-shingles")
+    rows = held.join(hot, "bucket", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     rows = rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0))
     rows = rows.repartition("bucket", "salt").distinct()
     same = Window.partitionBy("bucket", "salt")
     # what tells a set of texts: its size and two sums without carry
     marks = [F.count("*").over(same).alias("c"), F.bit_xor("node").over(same).alias("x"), F.bit_xor(F.xxhash64("node")).over(same).alias("y")]
     met = rows.select("bucket", "node", "hot", *marks).filter("hot or c > 1")
-    return met.select(F.when(F.col("hot"), F.col("bucket")).otherwise(F.xxhash64("c", "x", "y")).alias("bucket"), "node").distinct()
+    met = written(met.select(F.when(F.col("hot"), F.col("bucket")).otherwise(F.xxhash64("c", "x", "y")).alias("bucket"), "node").distinct(), "meetings")
+    removed(held, hot)
+    return met
 
 
 def _distance(a: str, b: str) -> Column:
-    return sum((F.bit_count(F.col(f"{a}.f{k}").bitwiseXOR(F.col(f"{b}.f{k}"))) for k in (0, 1)), F.lit(0))
+    return sum((F.bit_count(F.col(f"{a}.{f}").bitwiseXOR(F.col(f"{b}.{f}"))) for f in FPS), F.lit(0))
 
 
 def _sized(a: Column, b: Column, similarity: float) -> Column:
@@ -173,7 +176,7 @@ def _sized(a: Column, b: Column, similarity: float) -> Column:
 
 
 def _with_kin(texts: DataFrame, roots: DataFrame) -> DataFrame:
-    return texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("kin"), "size", "f0", "f1")
+    return texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("kin"), "size", *FPS)
 
 
 def star_pairs(met: DataFrame, texts: DataFrame, last: bool, similarity: float, radius: int) -> DataFrame:
@@ -229,13 +232,14 @@ def dealt(rows: DataFrame, weight: Column, block: int) -> DataFrame:
 
 
 def _tested(words: int, similarity: float, radius: int):
-    """(a, b) of rows (bucket, i, j, node, kin, size, f0, f1, text), which arrive sorted: links that pass the exact test."""
+    """(a, b) of rows (bucket, i, j, node, kin, size, FPS, text), which arrive sorted: links that pass the exact test."""
+    width = 6 + LANES
 
     def links(cols: list[list]) -> pa.RecordBatch:
-        rows = np.array(cols[:8], np.int64)
+        rows = np.array(cols[:width], np.int64)
         edge = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(axis=0)) + 1
         lengths = np.diff(np.concatenate(([0], edge, [rows.shape[1]])))
-        fps = np.ascontiguousarray(rows[6:8].T).view(np.uint64)
+        fps = np.ascontiguousarray(rows[6:].T).view(np.uint64)
         a, b = run_pairs(fps, lengths, radius, rows[4])
         low, high = np.minimum(rows[5][a], rows[5][b]), np.maximum(rows[5][a], rows[5][b])
         keep = low >= similarity * high - 1e-6
@@ -253,7 +257,7 @@ def _tested(words: int, similarity: float, radius: int):
                 continue
             for z in (x, y):
                 if z not in sets:
-                    sets[z] = shingle_set(cols[8][z], words)
+                    sets[z] = shingle_set(cols[width][z], words)
             if alike(sets[x], sets[y], similarity):
                 up[max(p, q)] = min(p, q)
                 found.append((x, y))
@@ -261,16 +265,16 @@ def _tested(words: int, similarity: float, radius: int):
         return pa.RecordBatch.from_arrays([pa.array(rows[3][ends[:, 0]]), pa.array(rows[3][ends[:, 1]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[] for _ in range(9)]
+        held: list[list] = [[] for _ in range(width + 1)]
         size = 0
         for batch in small(batches, 64):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if size >= BUFFER_BYTES and row[:3] != tuple(c[-1] for c in held[:3]):
                     yield links(held)
-                    held, size = [[] for _ in range(9)], 0
+                    held, size = [[] for _ in range(width + 1)], 0
                 for c, v in zip(held, row, strict=True):
                     c.append(v)
-                size += 200 + len(row[8] or b"")
+                size += 200 + len(row[width] or b"")
         if held[0]:
             yield links(held)
 
@@ -294,11 +298,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, radius: int = RADIUS, block_rows: int = BLOCK_ROWS, block_shingles: int = BLOCK_SHINGLES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(node, other, rank, class): each different text by its two hashes, its smallest id and the class it is in."""
     rank = F.struct(F.col("id").isNull().alias("missing"), F.col("id").alias("id"))
-    own = [F.min(c).alias(c) for c in ("size", "f0", "f1")]
+    own = [F.min(c).alias(c) for c in ("size", *FPS)]
     texts = written(sketches(docs, id_col, text_col, words).groupBy("node", "other").agg(*own, F.min(rank).alias("rank")), "texts")
     node, _ = text_hashes(F.col(text_col))
     bodies = docs.select(node.alias("node"), F.col(text_col).cast("binary").alias("text"))
-    met = written(meetings(bodies, common_shingles(bodies, words), words, similarity, hot_rows), "meetings")
+    met = meetings(bodies, common_shingles(bodies, words), words, similarity, hot_rows)
     sketched = texts.groupBy("node").agg(*own, F.count("*").alias("c"))
     # two texts of one node: their node takes no part, so that none goes for a link of the other's
     clashing = written(sketched.filter("c > 1").select("node"), "clashes")
@@ -309,18 +313,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     for last in (False, True):
         pairs = written(star_pairs(met, _with_kin(sketched, roots), last, similarity, radius), "star-pairs")
         both = pairs.join(bodies.toDF("a", "text_a"), "a").join(bodies.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
-        roots = connected_components(both.mapInArrow(_similar(words, similarity), "a long, b long").union(roots))
+        # written first, so that no task has workers of both this test and the components
+        links = written(both.mapInArrow(_similar(words, similarity), "a long, b long"), "star-links")
+        roots = connected_components(links.union(roots))
     kin = written(_with_kin(sketched, roots), "kin")
-    apart = met.join(kin, "node").select("bucket", "node", "kin", "f0", "f1")
+    apart = met.join(kin, "node").select("bucket", "node", "kin", *FPS)
     several = apart.groupBy("bucket").agg(F.min("kin").alias("low"), F.max("kin").alias("high")).filter("low <> high").select("bucket")
     apart = written(apart.join(several, "bucket"), "apart")
-    near = written(tiles(dealt(apart, F.lit(1), block_rows), ["node", "kin", "f0", "f1"]).mapInArrow(compare(radius, kin=True), "a long, b long").distinct(), "near")
+    near = written(tiles(dealt(apart, F.lit(1), block_rows), ["node", "kin", *FPS]).mapInArrow(compare(radius, kin=True), "a long, b long").distinct(), "near")
     removed(met, apart)
     groups = connected_components(near)
     ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    members = ends.join(groups, "node", "left").join(kin, "node").select(F.coalesce("root", "node").alias("bucket"), "node", "kin", "size", "f0", "f1")
+    members = ends.join(groups, "node", "left").join(kin, "node").select(F.coalesce("root", "node").alias("bucket"), "node", "kin", "size", *FPS)
     blocks = dealt(written(members, "members"), F.col("size") + 1, block_shingles).join(bodies, "node")
-    links = tiles(blocks, ["node", "kin", "size", "f0", "f1", "text"]).mapInArrow(_tested(words, similarity, radius), "a long, b long")
+    links = written(tiles(blocks, ["node", "kin", "size", *FPS, "text"]).mapInArrow(_tested(words, similarity, radius), "a long, b long"), "links")
     roots = connected_components(links.union(roots))
     removed(near, bodies, kin)
     named = texts.join(roots, "node", "left").join(clashing.withColumn("clash", F.lit(True)), "node", "left")

@@ -1,38 +1,22 @@
-"""The folder that driver and executors share, written tables that cut lineage in it, and small Arrow batches."""
+"""Written tables that cut lineage in the folder that driver and executors share, and small Arrow batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from loam.sources.shared import new_path, shared_dir
+
+__all__ = ["new_path", "removed", "shared_dir", "small", "written"]
 
-#: A folder for each local application that names none.
-_OWN: dict[str, str] = {}
 #: Rows of whole texts that a Python worker turns into objects at once. Spark bounds an Arrow batch in bytes
 #: (spark.sql.execution.arrow.maxBytesPerBatch), which holds for long texts.
 ARROW_RECORDS = 1000
-#: Spark's setting to delete the shuffle files of an SQL execution at its end.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where it is unset, a local session gets one; a cluster's executors could not see it."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-loam-")
-    return _OWN[app]
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/loam/{label}-{uuid.uuid4().hex}"
+#: Spark's settings while a table is written: shuffle files go at the end; Arrow batches are small, as each of a stage's
+#: Python functions holds some in its worker and outside the JVM's heap.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -41,12 +25,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     Once it is written, the shuffles that made it are deleted.
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, label)
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out.loam_path = path
     return out
