@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-KEPT_BYTES, CACHE_BYTES = 64, 32 << 20
+KEPT_BYTES, CACHE_BYTES = 64, 64 << 20
 #: A sign that comes so many times in a row, or more, is a run of its own kind.
 RUN = 512
 _RUN = re.compile(rf"(?s)(.)\1{{{RUN - 1},}}")
@@ -37,12 +38,12 @@ _RUN = re.compile(rf"(?s)(.)\1{{{RUN - 1},}}")
 STEP_BYTES = 1 << 17
 #: Characters of texts that are Python objects with their chunks and ids at once, unless one text alone is longer.
 GROUP_CHARS = 1 << 19
-#: Lists of ids that are texts at once.
-DECODED = 256
+#: Lists of ids that are texts at once; ids that become bytes at once.
+DECODED, STEP_IDS = 128, 1 << 18
 #: Pieces that are tried one by one rather than side by side.
 FEW = 32
-#: Bytes that a cached chunk takes besides its own and its ids', and that an id takes.
-OVERHEAD, ID_BYTES = 220, 40
+#: Bytes that a cached chunk takes besides its own and its ids'.
+OVERHEAD = 240
 UNKNOWN_PENALTY = 10.0
 
 
@@ -252,8 +253,8 @@ class Segmenter:
         at, k = np.fromiter(came, np.int64, len(came)), np.fromiter(came.values(), np.int64, len(came))
         best[at], last[at], named[at] = np.array(score)[at], start[k], piece[k]
 
-    def _segmented(self, chunks: list[str]) -> list[list[int]]:
-        """The ids of each chunk. A chunk is its bytes and one more place, its end; 256 is there, a byte no piece has."""
+    def _segmented(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk, as the bytes of 32-bit integers. A chunk is its bytes and one more place, its end; 256 is there, a byte no piece has."""
         raws = [c.encode() for c in chunks]
         ends = np.cumsum([len(r) + 1 for r in raws]) - 1
         text = np.frombuffer(b"\xff".join(raws) + b"\xff" * (self.trie.depth + 1), np.uint8).astype(np.int32)
@@ -299,15 +300,15 @@ class Segmenter:
         for k in range(4):
             some = spelled & (width > k)
             ids[first[some] + k] = self.byte_ids[text[begin[some] + k]]
-        upto = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(token, ends, side="right")].tolist()
-        ids = ids.tolist()
+        upto = (4 * np.concatenate(([0], np.cumsum(count)))[np.searchsorted(token, ends, side="right")]).tolist()
+        ids = ids.astype(np.int32).tobytes()
         return [ids[a:b] for a, b in zip([0, *upto[:-1]], upto, strict=True)]
 
     def encode(self, texts: Iterable[str | None]) -> list[list[int] | None]:
-        return [ids for group in self.groups(texts) for ids in group]
+        return [None if ids is None else np.frombuffer(ids, np.int32).tolist() for group in self.groups(texts) for ids in group]
 
-    def groups(self, texts: Iterable[str | None]) -> Iterator[list[list[int] | None]]:
-        """The ids of the texts, some GROUP_CHARS of them at a time."""
+    def groups(self, texts: Iterable[str | None]) -> Iterator[list[bytes | None]]:
+        """The ids of the texts, as the bytes of 32-bit integers, some GROUP_CHARS of the texts at a time."""
         held, size = [], 0
         for text in texts:
             held.append(text)
@@ -318,15 +319,16 @@ class Segmenter:
         if held:
             yield self._encoded(held)
 
-    def _encoded(self, texts: list[str | None]) -> list[list[int] | None]:
+    def _encoded(self, texts: list[str | None]) -> list[bytes | None]:
         split = [None if t is None else self._chunks(t) for t in texts]
         if self.held > CACHE_BYTES:
             self.known, self.held = {}, 0
         known, new, size, once = self.known, [], 0, {}
-        wanted = dict.fromkeys(c for s in split if s for c in s if c not in known)
-        for chunk in wanted:
+        for chunk in dict.fromkeys(chain.from_iterable(s for s in split if s)):
+            if chunk in known:
+                continue
             if len(chunk) >= RUN and _RUN.search(chunk):
-                once[chunk] = self._with_runs(chunk)
+                once[chunk] = np.array(self._with_runs(chunk), np.int32).tobytes()
                 continue
             new.append(chunk)
             size += len(chunk)
@@ -335,11 +337,14 @@ class Segmenter:
                 new, size = [], 0
         if new:
             once.update(zip(new, self._segmented(new), strict=True))
+        known.update(once)
+        out = [None if s is None else b"".join(map(known.__getitem__, s)) for s in split]
         for chunk, ids in once.items():
-            if len(chunk) <= KEPT_BYTES:
-                known[chunk] = ids
-                self.held += OVERHEAD + len(chunk) + ID_BYTES * len(ids)
-        return [None if s is None else [i for c in s for i in (known[c] if c in known else once[c])] for s in split]
+            if len(chunk) > KEPT_BYTES:
+                del known[chunk]
+            else:
+                self.held += OVERHEAD + len(chunk) + len(ids)
+        return out
 
     def _chunks(self, text: str) -> list[str]:
         if not text:
@@ -353,18 +358,34 @@ class Segmenter:
 
 @dataclass
 class Decoder:
-    plain: list[bytes]
+    text: np.ndarray  # of all pieces, as bytes
+    begin: np.ndarray
+    size: np.ndarray
     dummy_prefix: bool
 
     @classmethod
     def of(cls, model: PieceModel) -> Decoder:
         kinds = zip(model.pieces, model.kinds, strict=True)
-        return cls([b"" if t == 3 else bytes([int(p[3:5], 16)]) if t == 6 else " ⁇ ".encode() if t == 2 else p.replace(SPACE, " ").encode() for p, t in kinds], model.dummy_prefix)
-
-    def decode(self, ids: Iterable[int]) -> str:
-        plain = self.plain
-        text = b"".join([plain[i] for i in ids]).decode(errors="replace")
-        return text.removeprefix(" ") if self.dummy_prefix else text
+        plain = [b"" if t == 3 else bytes([int(p[3:5], 16)]) if t == 6 else " ⁇ ".encode() if t == 2 else p.replace(SPACE, " ").encode() for p, t in kinds]
+        size = np.array([len(p) for p in plain], np.int64)
+        return cls(np.frombuffer(b"".join(plain), np.uint8), np.cumsum(size) - size, size, model.dummy_prefix)
+
+    def decode(self, ids: list[int]) -> str:
+        return next(self.decoded(np.asarray(ids, np.int64), np.array([0, len(ids)])))
+
+    def decoded(self, ids: np.ndarray, offsets: np.ndarray) -> Iterator[str]:
+        """The texts of lists of ids, one after the other in ids. offsets: where they begin, and the last one's end."""
+        raw, ends = [], [np.zeros(1, np.int64)]
+        for at in range(0, len(ids), STEP_IDS):
+            some = ids[at : at + STEP_IDS]
+            size = self.size[some]
+            end = np.cumsum(size)
+            raw.append(self.text[np.repeat(self.begin[some] - (end - size), size) + np.arange(end[-1])].tobytes())
+            ends.append(end + ends[-1][-1])
+        whole, cuts = b"".join(raw), np.concatenate(ends)[offsets].tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            text = whole[a:b].decode(errors="replace")
+            yield text.removeprefix(" ") if self.dummy_prefix else text
 
 
 def encoder(model: PieceModel):
@@ -375,8 +396,8 @@ def encoder(model: PieceModel):
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
             for ids in segmenter.groups(x.as_py() for x in part):
-                flat = np.fromiter((i for x in ids if x for i in x), np.int32)
-                offsets = np.cumsum([0, *(len(x or ()) for x in ids)]).astype(np.int32)
+                flat = np.frombuffer(b"".join(x for x in ids if x), np.int32)
+                offsets = np.cumsum([0, *(len(x or b"") // 4 for x in ids)]).astype(np.int32)
                 yield pa.ListArray.from_arrays(pa.array(offsets, mask=np.array([*(x is None for x in ids), False])), pa.array(flat))
 
     return encode
@@ -397,6 +418,8 @@ def decoder(model: PieceModel):
         for part in parts:
             for at in range(0, max(1, len(part)), DECODED):
                 some = part.slice(at, DECODED)
-                yield pa.array([plain.decode(x.values.to_numpy()) if x.is_valid else None for x in some], pa.string())
+                # null lists are empty in what is flattened
+                texts = plain.decoded(some.flatten().to_numpy(), np.concatenate(([0], np.cumsum(some.value_lengths().fill_null(0).to_numpy()))))
+                yield pa.array([text if valid else None for text, valid in zip(texts, some.is_valid().to_pylist(), strict=True)], pa.string())
 
     return decode
