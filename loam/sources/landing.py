@@ -31,6 +31,24 @@ def path_of(entry: Column, name: str = "path") -> Column:
     return F.coalesce(F.array_join(field(entry, name, "array<string>"), "/"), field(entry, name))
 
 
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value): files' paths and whole texts.
+
+    Where there is a file for each asset, a read of them costs a listing and an opening each. Many of them should be
+    written as one table of these columns (Parquet, say), once or as they land; pages_of() takes such a table as well.
+    """
+    return spark.read.text(path, wholetext=True).select(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("file"), "value")
+
+
+def pages_of(files: DataFrame, keys: tuple = LIST_KEYS, asset_from: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """read_pages() of the texts of pages (file, value), wherever they are kept."""
+    parsed = files.select("file", F.try_parse_json("value").alias("page"))
+    lists = [F.try_variant_get("page", p, "array<variant>") for p in ("$", *(f"$.{k}" for k in keys))]
+    asset = F.regexp_replace(F.regexp_extract("file", asset_from, 1), "^[^=]*=", "") if asset_from else F.lit(None).cast("string")
+    rows = parsed.select("file", asset.alias("asset_id"), F.coalesce(*lists).alias("items"))
+    return rows.filter("items is not null"), rows.filter("items is null").select("file")
+
+
 def read_pages(spark: SparkSession, path: str, keys: tuple = LIST_KEYS, asset_from: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(pages, odd): (file, asset_id, items) of JSON page files, items an array of VARIANT; and files (file) that hold no list.
 
@@ -38,11 +56,7 @@ def read_pages(spark: SparkSession, path: str, keys: tuple = LIST_KEYS, asset_fr
     expression on the file's path whose group is the id of the asset that the page belongs to, BY_FILE or BY_FOLDER
     for instance (pages of sources don't name it themselves); a folder `name=id` gives the id. Without it asset_id is null.
     """
-    files = spark.read.text(path, wholetext=True).select(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("file"), F.try_parse_json("value").alias("page"))
-    lists = [F.try_variant_get("page", p, "array<variant>") for p in ("$", *(f"$.{k}" for k in keys))]
-    asset = F.regexp_replace(F.regexp_extract("file", asset_from, 1), "^[^=]*=", "") if asset_from else F.lit(None).cast("string")
-    rows = files.select("file", asset.alias("asset_id"), F.coalesce(*lists).alias("items"))
-    return rows.filter("items is not null"), rows.filter("items is null").select("file")
+    return pages_of(read_files(spark, path), keys, asset_from)
 
 
 def entries(pages: DataFrame) -> DataFrame:
@@ -98,10 +112,11 @@ def workbook_sources(pages: DataFrame) -> DataFrame:
     return entries(pages).select(F.col("asset_id").alias("workbook_id"), field(e, "type").alias("source_type"), field(e, "inodeId").alias("inode_id"), field(e, "dataModelId").alias("data_model_id"))
 
 
-def landed_dependencies(spark: SparkSession, assets: str, targets: str, sources: str, run_id: str, created_at: str, asset_from: str = BY_FILE, single_targets: str | None = None) -> DataFrame:
+def landed_dependencies(spark: SparkSession, assets: str, targets: str, sources: str | DataFrame, run_id: str, created_at: str, asset_from: str = BY_FILE, single_targets: str | None = None) -> DataFrame:
     """graph.dependency_table of three folders of landed pages: listed assets, listed targets, and each asset's sources.
 
-    Sources count if a listed asset has their inode id, dataset id or id. single_targets: files of one target
+    Sources may also be a table of their pages (file, value), as read_files() gives it. They count if a listed asset has
+    their inode id, dataset id or id. single_targets: files of one target
     each, for those that the list lacks but assets name (they may belong to others).
     """
     from loam.operators import graph
@@ -112,7 +127,8 @@ def landed_dependencies(spark: SparkSession, assets: str, targets: str, sources:
         files = spark.read.text(single_targets, wholetext=True).select(F.try_parse_json("value").alias("entry")).filter("entry is not null")
         wanted = own.select("target_id").join(models, "target_id", "left_anti").distinct()
         models = models.unionByName(target_entries(files).join(wanted, "target_id", "left_semi"))
+    texts = read_files(spark, sources) if isinstance(sources, str) else sources
     known = own.select("asset_id").union(aliases.select("alias"))
-    edges = graph.extract_edges(source_listing(read_pages(spark, sources, SOURCE_KEYS, asset_from)[0]), "dataset", ["inode_id", "asset_id", "id"], known=known, normalise=False)
+    edges = graph.extract_edges(source_listing(pages_of(texts, SOURCE_KEYS, asset_from)[0]), "dataset", ["inode_id", "asset_id", "id"], known=known, normalise=False)
     edges = graph.resolve_aliases(edges.join(own.select(F.col("asset_id").alias("child")), "child", "left_semi"), aliases)
     return graph.dependency_table(own, edges, models, run_id, created_at)
