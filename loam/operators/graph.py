@@ -80,14 +80,17 @@ def dependency_table(assets: DataFrame, edges: DataFrame, targets: DataFrame | N
     has = lambda df, c: F.col(c) if c in df.columns else F.lit(None).cast("string")
     name = F.coalesce("name", F.col("asset_id").cast("string")) if default_names else F.col("name")
     own = assets.select("asset_id", name.alias("asset_name"), *(has(assets, c).alias(f"asset_{c}" if c in ("path", "url", "created_by", "owner") else c) for c in ASSET_FIELDS), has(assets, "target_id").alias("target_id"))
+    if targets is None:
+        own = own.select("*", *(F.lit(None).cast("string").alias(f"target_{c}") for c in TARGET_FIELDS))
+    else:  # assets without a target go past the join, in which their null ids would meet in one task
+        aims = targets.select("target_id", *(has(targets, c).alias(f"target_{c}") for c in TARGET_FIELDS))
+        own = own.filter("target_id is not null").join(aims, "target_id", "left").unionByName(own.filter("target_id is null"), allowMissingColumns=True)
+    # parents are joined to edges, as ROOTs have null parents
     parents = assets.select(F.col("asset_id").alias("parent_id"), F.col("name").alias("parent_name"), has(assets, "status").alias("parent_status"))
-    out = own.join(graph_roles(edges, assets), "asset_id").join(edges.select(F.col("child").alias("asset_id"), F.col("parent").alias("parent_id")), "asset_id", "left").join(parents, "parent_id", "left")
+    linked = edges.select(F.col("child").alias("asset_id"), F.col("parent").alias("parent_id")).join(parents, "parent_id", "left")
     if default_names:
-        out = out.withColumn("parent_name", F.coalesce("parent_name", F.col("parent_id").cast("string")))
-    if targets is not None:
-        out = out.join(targets.select("target_id", *(has(targets, c).alias(f"target_{c}") for c in TARGET_FIELDS)), "target_id", "left")
-    else:
-        out = out.select("*", *(F.lit(None).cast("string").alias(f"target_{c}") for c in TARGET_FIELDS))
+        linked = linked.withColumn("parent_name", F.coalesce("parent_name", F.col("parent_id").cast("string")))
+    out = own.join(graph_roles(edges, assets), "asset_id").join(linked, "asset_id", "left")
     order = ["role", "asset_id", "asset_name", *(f"asset_{c}" if c in ("path", "url", "created_by", "owner") else c for c in ASSET_FIELDS), "target_id", *(f"target_{c}" for c in TARGET_FIELDS), "parent_id", "parent_name", "parent_status", "n_parents", "n_children"]
     return stamped(out.select(*order), run_id, created_at)
 

@@ -27,7 +27,7 @@ def dependency_lookup(dep: DataFrame, by: str | None = None) -> tuple[DataFrame,
     by: of the newest run, as latest_run(by) finds it; without it all rows count.
     """
     dep = dep if by is None else latest_run(dep, by)
-    assets = _first(dep.select(*DETAILS).distinct(), "asset_id")
+    assets = _first(dep.select(*DETAILS), "asset_id")
     return assets, _first(assets, "target_id")
 
 
@@ -35,17 +35,21 @@ def classify_sources(sources: DataFrame, assets: DataFrame, targets: DataFrame,
     """Sources with in_scope and the details of the asset behind them.
 
     A dataset source is in scope if its inode is a known asset, a data-model source if its id is a known target.
-    aliases (alias, canonical) lead from inodes to asset ids.
+    aliases (alias, canonical) lead from inodes to asset ids. Sources without such an id are joined with nothing, so
+    that however many they are, they don't meet in one task; sources are read three times for that.
     """
-    rows = sources.withColumn("_inode", F.when(F.col("source_type") == "dataset", F.col("inode_id")))
+    inode, model = (F.coalesce((F.col("source_type") == kind) & F.col(c).isNotNull(), F.lit(False)) for kind, c in (("dataset", "inode_id"), ("data-model", "data_model_id")))
+    by_asset = assets.select(F.col("asset_id").alias("_key"), F.struct(*DETAILS).alias("_d"))
+    by_target = targets.select(F.col("target_id").alias("_key"), F.struct(*DETAILS).alias("_d"))
+    inodes = sources.filter(inode).withColumn("_key", F.col("inode_id"))
     if aliases is not None:
-        names = aliases.select(F.col("alias").alias("_inode"), F.col("canonical").alias("_to")).distinct()
-        rows = rows.join(names, "_inode", "left").withColumn("_inode", F.coalesce("_to", "_inode")).drop("_to")
-    rows = rows.withColumn("_model", F.when(F.col("source_type") == "data-model", F.col("data_model_id")))
-    by_asset = assets.select(F.col("asset_id").alias("_inode"), F.struct(*DETAILS).alias("_a"))
-    by_target = targets.select(F.col("target_id").alias("_model"), F.struct(*DETAILS).alias("_t"))
-    rows = rows.join(by_asset, "_inode", "left").join(by_target, "_model", "left").withColumn("_d", F.coalesce("_a", "_t"))
-    return rows.select(*sources.columns, F.col("_d").isNotNull().alias("in_scope"), *(F.col(f"_d.{c}").alias(c) for c in DETAILS))
+        names = aliases.select(F.col("alias").alias("_key"), F.col("canonical").alias("_to")).filter("_key is not null").distinct()
+        inodes = inodes.join(names, "_key", "left").withColumn("_key", F.coalesce("_to", "_key")).drop("_to")
+    models = sources.filter(model).withColumn("_key", F.col("data_model_id"))
+    found = lambda rows: rows.select(*sources.columns, F.col("_d").isNotNull().alias("in_scope"), *(F.col(f"_d.{c}").alias(c) for c in DETAILS))
+    out = found(inodes.join(by_asset, "_key", "left")).unionByName(found(models.join(by_target, "_key", "left")))
+    none = sources.filter(~inode & ~model).select(*sources.columns, F.lit(False).alias("in_scope"))
+    return out.unionByName(none, allowMissingColumns=True)
 
 
 def source_details(classified: DataFrame, workbooks: DataFrame, run_id: str, created_at: str) -> DataFrame:

@@ -1,16 +1,35 @@
-"""Landed pages don't take a file for each asset."""
+"""Rows without a key don't meet in one task, and landed pages don't take a file for each asset."""
 
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from loam.operators import graph, mapping
 from loam.plans import catalog, stored
 from loam.sources import landing
 
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture
+def plain_joins(spark):
+    """Neither broadcasts nor adaptive splits, as where rows are many."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def largest(df) -> float:
+    """The share of the rows that the largest partition holds."""
+    n = sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    return n[-1] / sum(n)
+
+
 @pytest.mark.parametrize("name", ["g1_landed_edges", "g7_landed_dependencies"])
 def test_landed_sources_are_few_files(spark, tmp_path, monkeypatch, name):
     at = f"file://{tmp_path}/run"
@@ -29,3 +48,28 @@ def test_pages_of_a_table_are_those_of_files(spark, tmp_path):
     pages = [sorted((r.file, r.asset_id, r.n) for r in p.select("file", "asset_id", F.size("items").alias("n")).collect()) for p, _ in found]
     assert pages[0] == pages[1] and [(a, n) for _, a, n in pages[1]] == [("a%20b+c", 0), ("d1", 1), ("d2", 0)]
     assert [[r.file.split("=")[1] for r in odd.collect()] for _, odd in found] == [["d3/page.json"]] * 2
+
+
+def test_sources_without_an_asset_are_spread(spark, plain_joins):
+    dep = spark.range(100).select(F.col("id").alias("asset_id"), F.concat(F.lit("dm_"), F.col("id").cast("string")).alias("target_id"), *(F.lit("x").alias(c) for c in mapping.DETAILS if c not in ("asset_id", "target_id")))
+    kind = F.when(F.col("id") % 10 == 0, "dataset").when(F.col("id") % 10 == 1, "data-model").when(F.col("id") % 10 < 8, "table")
+    sources = spark.range(0, 4000, 1, 4).select(F.col("id").alias("workbook_id"), kind.alias("source_type"), (F.col("id") % 200).alias("inode_id"), F.concat(F.lit("dm_"), (F.col("id") % 200).cast("string")).alias("data_model_id"))
+    sources = sources.withColumns({c: F.when(F.col("workbook_id") % 3 > 0, F.col(c)) for c in ("inode_id", "data_model_id")})
+    for aliases in (None, spark.createDataFrame([(5_000, 1), (None, 2)], "alias long, canonical long")):
+        out = mapping.classify_sources(sources, *mapping.dependency_lookup(dep), aliases)
+        assert out.columns == [*sources.columns, "in_scope", *mapping.DETAILS] and out.count() == 4000
+        assert largest(out) < 0.4
+        n = out.groupBy("source_type").agg(F.count_if("in_scope").alias("n"), F.count("asset_id").alias("known")).collect()
+        expected = {t: sum(1 for i in range(4000) if i % 10 == r and i % 3 and i % 200 < 100) for t, r in (("dataset", 0), ("data-model", 1))}
+        assert {r.source_type: r.n for r in n} == {**expected, "table": 0, None: 0} and all(r.n == r.known for r in n)
+
+
+def test_assets_without_target_or_parent_are_spread(spark, plain_joins):
+    assets = spark.range(0, 2000, 1, 4).select(F.col("id").alias("asset_id"), F.col("id").cast("string").alias("name"), F.when(F.col("id") % 10 == 0, F.concat(F.lit("m"), F.col("id").cast("string"))).alias("target_id"))
+    targets = assets.filter("asset_id % 20 = 0").select("target_id", F.lit("t").alias("name"))
+    edges = spark.createDataFrame([(5, 6), (5, 9_999), (6, 7)], "child long, parent long")
+    out = graph.dependency_table(assets, edges, targets, "r", "2001-01-01")
+    assert largest(out) < 0.4 and out.count() == 2001
+    assert out.filter("target_name = 't'").count() == 100 and out.filter("target_id is not null").count() == 200
+    assert sorted((r.asset_id, r.parent_id, r.parent_name) for r in out.filter("parent_id is not null").collect()) == [(5, 6, "6"), (5, 9999, "9999"), (6, 7, "7")]
+    assert out.filter("role = 'ROOT' and parent_name is null").count() == 1998
