@@ -39,14 +39,16 @@ def classify_sources(sources: DataFrame, assets: DataFrame, targets: DataFrame,
     that however many they are, they don't meet in one task; sources are read three times for that.
     """
     inode, model = (F.coalesce((F.col("source_type") == kind) & F.col(c).isNotNull(), F.lit(False)) for kind, c in (("dataset", "inode_id"), ("data-model", "data_model_id")))
-    by_asset = assets.select(F.col("asset_id").alias("_key"), F.struct(*DETAILS).alias("_d"))
-    by_target = targets.select(F.col("target_id").alias("_key"), F.struct(*DETAILS).alias("_d"))
+    # plain columns, not a struct, so that a reader's joins move only the details that it reads
+    hit = F.lit(True).alias("_hit")
+    by_asset = assets.select(F.col("asset_id").alias("_key"), hit, *DETAILS)
+    by_target = targets.select(F.col("target_id").alias("_key"), hit, *DETAILS)
     inodes = sources.filter(inode).withColumn("_key", F.col("inode_id"))
     if aliases is not None:
         names = aliases.select(F.col("alias").alias("_key"), F.col("canonical").alias("_to")).filter("_key is not null").distinct()
         inodes = inodes.join(names, "_key", "left").withColumn("_key", F.coalesce("_to", "_key")).drop("_to")
     models = sources.filter(model).withColumn("_key", F.col("data_model_id"))
-    found = lambda rows: rows.select(*sources.columns, F.col("_d").isNotNull().alias("in_scope"), *(F.col(f"_d.{c}").alias(c) for c in DETAILS))
+    found = lambda rows: rows.select(*sources.columns, F.col("_hit").isNotNull().alias("in_scope"), *DETAILS)
     out = found(inodes.join(by_asset, "_key", "left")).unionByName(found(models.join(by_target, "_key", "left")))
     none = sources.filter(~inode & ~model).select(*sources.columns, F.lit(False).alias("in_scope"))
     return out.unionByName(none, allowMissingColumns=True)

@@ -103,11 +103,11 @@ def g10_latest_run(spark: SparkSession, d: str) -> DataFrame:
     return n(by_time, "created_at").unionByName(n(by_id, "run_id"))
 
 
-def _mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(workbooks, classified, summary, details)"""
+def _mapped(spark: SparkSession, d: str, now: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(workbooks, classified, summary, details). now: kept_dep(), where the query itself reads it as well."""
     v = partial(view, spark, d)
     books = v("fx_workbook")
-    classified = mapping.classify_sources(v("fx_source"), *mapping.dependency_lookup(dep(spark, d)))
+    classified = mapping.classify_sources(v("fx_source"), *mapping.dependency_lookup(kept_dep(spark, d) if now is None else now))
     return books, classified, mapping.asset_summary(classified, books, "a1", "2001-08-02"), mapping.source_details(classified, books, "a1", "2001-08-02")
 
 
@@ -185,7 +185,8 @@ def v4_asset_migration_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v5_terminal_assets(spark: SparkSession, d: str) -> DataFrame:
-    return overview.terminal_assets(dep(spark, d), _mapped(spark, d)[3])
+    now = kept_dep(spark, d)
+    return overview.terminal_assets(now, _mapped(spark, d, now)[3])
 
 
 def v6_child_ahead_of_parent(spark: SparkSession, d: str) -> DataFrame:
@@ -206,11 +207,13 @@ def v9_readiness_pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v10_graph_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return overview.graph_nodes(dep(spark, d), _mapped(spark, d)[2])
+    now = kept_dep(spark, d)
+    return overview.graph_nodes(now, _mapped(spark, d, now)[2])
 
 
 def v11_graph_edges(spark: SparkSession, d: str) -> DataFrame:
-    return overview.graph_edges(dep(spark, d), _mapped(spark, d)[3])
+    now = kept_dep(spark, d)
+    return overview.graph_edges(now, _mapped(spark, d, now)[3])
 
 
 def w1_discover_logs(spark: SparkSession, d: str) -> DataFrame:

@@ -82,3 +82,27 @@ def test_newest_lookups_take_no_sources(spark, monkeypatch):
 
     monkeypatch.setattr(mapping, "classify_sources", never)
     assert catalog.queries()["m1_latest_run"](spark, SF).count() > 200
+
+
+def test_readers_of_sources_move_what_they_read(spark, plain_joins, tmp_path, capsys):
+    """A count by workbook needs the keys of assets and targets alone, however many details there are."""
+    path = f"file://{tmp_path}/assets"
+    spark.range(20).select(*(F.col("id").cast("string").alias(c) for c in mapping.DETAILS)).write.parquet(path)
+    assets = spark.read.parquet(path)
+    sources = spark.range(40).select(F.col("id").alias("workbook_id"), F.lit("dataset").alias("source_type"), F.col("id").cast("string").alias("inode_id"), F.lit(None).cast("string").alias("data_model_id"))
+    out = mapping.classify_sources(sources, assets, assets)
+    assert out.filter("in_scope").count() == 20 and out.filter("in_scope and asset_name = inode_id").count() == 20
+    capsys.readouterr()
+    out.select("workbook_id", "in_scope").explain()
+    plan = capsys.readouterr().out
+    assert "asset_id" in plan and "asset_url" not in plan
+
+
+@pytest.mark.parametrize("name", ["v5_terminal_assets", "v8_repointing_candidates", "v10_graph_nodes", "v11_graph_edges"])
+def test_mapped_queries_make_one_dependency_table(spark, monkeypatch, name):
+    made, written = [], []
+    table, keep = graph.dependency_table, catalog.kept
+    monkeypatch.setattr(graph, "dependency_table", lambda *a, **k: made.append(1) or table(*a, **k))
+    monkeypatch.setattr(catalog, "kept", lambda *a, **k: written.append(1) or keep(*a, **k))
+    assert catalog.queries()[name](spark, SF).count() > 0
+    assert len(made) == len(written) == 1
