@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.sources.listings import LIST_KEYS
+from loam.sources.shared import kept
 
 #: Keys under which a page of an asset's sources may hold them.
 SOURCE_KEYS = ("entries", "sources")
@@ -42,10 +43,11 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
 def pages_of(files: DataFrame, keys: tuple = LIST_KEYS, asset_from: str | None = None) -> tuple[DataFrame, DataFrame]:
     """read_pages() of the texts of pages (file, value), wherever they are kept."""
-    parsed = files.select("file", F.try_parse_json("value").alias("page"))
+    # exploded arrays of one, as filters on a plain column would go below it and parse each page again for every mention
+    parsed = files.select("file", F.explode(F.array(F.try_parse_json("value"))).alias("page"))
     lists = [F.try_variant_get("page", p, "array<variant>") for p in ("$", *(f"$.{k}" for k in keys))]
     asset = F.regexp_replace(F.regexp_extract("file", asset_from, 1), "^[^=]*=", "") if asset_from else F.lit(None).cast("string")
-    rows = parsed.select("file", asset.alias("asset_id"), F.coalesce(*lists).alias("items"))
+    rows = parsed.select("file", asset.alias("asset_id"), F.explode(F.array(F.coalesce(*lists))).alias("items"))
     return rows.filter("items is not null"), rows.filter("items is null").select("file")
 
 
@@ -64,19 +66,20 @@ def entries(pages: DataFrame) -> DataFrame:
     return pages.select("asset_id", F.explode("items").alias("entry"))
 
 
-def _once(rows: DataFrame, key: str) -> DataFrame:
-    """One row for each id, as pages that overlap repeat entries: the first by its columns."""
-    rest = [c for c in rows.columns if c != key]
-    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("e")).select(key, "e.*")
+def _once(rows: DataFrame, key: str, all_of: tuple = ()) -> DataFrame:
+    """One row for each id, as pages that overlap repeat entries: the first by its columns, and every value of those in all_of."""
+    rest = [c for c in rows.columns if c not in (key, *all_of)]
+    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("e"), *(F.collect_set(c).alias(c) for c in all_of)).select(key, "e.*", *all_of)
 
 
-def asset_entries(found: DataFrame) -> DataFrame:
-    """Assets (as loam.operators.graph takes them) of dataset entries, by their dataset id."""
+def asset_entries(found: DataFrame, inodes: bool = False) -> DataFrame:
+    """Assets (as loam.operators.graph takes them) of dataset entries, by their dataset id. inodes: with the array of their inode ids."""
     e = F.col("entry")
+    ids = [field(e, "inodeId").alias("inodes")] if inodes else []
     return _once(found.select(
         field(e, "datasetId").alias("asset_id"), field(e, "name").alias("name"), path_of(e).alias("path"), field(e, "url").alias("url"), field(e, "createdBy").alias("created_by"), field(e, "owner").alias("owner"),
-        field(e, "migrationStatus").alias("status"), field(e, "migrationToDataModel.dataModelId").alias("target_id"), iso_time(e, "migrationToDataModel.migratedAt").alias("migrated_at"), field(e, "migrationToDataModel.migratedBy").alias("migrated_by"),
-    ), "asset_id")
+        field(e, "migrationStatus").alias("status"), field(e, "migrationToDataModel.dataModelId").alias("target_id"), iso_time(e, "migrationToDataModel.migratedAt").alias("migrated_at"), field(e, "migrationToDataModel.migratedBy").alias("migrated_by"), *ids,
+    ), "asset_id", ("inodes",) if inodes else ())
 
 
 def alias_entries(found: DataFrame) -> DataFrame:
@@ -103,7 +106,7 @@ def workbook_entries(found: DataFrame) -> DataFrame:
 def source_listing(pages: DataFrame) -> DataFrame:
     """(asset_id, sources): for graph.extract_edges. pages: with asset_from; sources: type, inode_id, asset_id, data_model_id, id."""
     one = lambda s: F.struct(field(s, "type").alias("type"), field(s, "inodeId").alias("inode_id"), field(s, "datasetId").alias("asset_id"), field(s, "dataModelId").alias("data_model_id"), field(s, "id").alias("id"))
-    return pages.select("asset_id", F.transform("items", one).alias("sources"))
+    return pages.select("asset_id", F.explode(F.array(F.transform("items", one))).alias("sources"))  # once, as in pages_of
 
 
 def workbook_sources(pages: DataFrame) -> DataFrame:
@@ -122,7 +125,10 @@ def landed_dependencies(spark: SparkSession, assets: str, targets: str, sources:
     from loam.operators import graph
 
     listed = entries(read_pages(spark, assets)[0])
-    own, aliases, models = asset_entries(listed), alias_entries(listed), target_entries(entries(read_pages(spark, targets)[0]))
+    # one table of assets and aliases, as each of their many uses would parse the listing again
+    found = kept(asset_entries(listed, inodes=True), "listed")
+    own, aliases = found.drop("inodes"), found.select(F.explode("inodes").alias("alias"), F.col("asset_id").alias("canonical"))
+    models = target_entries(entries(read_pages(spark, targets)[0]))
     if single_targets:
         files = spark.read.text(single_targets, wholetext=True).select(F.try_parse_json("value").alias("entry")).filter("entry is not null")
         wanted = own.select("target_id").join(models, "target_id", "left_anti").distinct()
@@ -130,5 +136,5 @@ def landed_dependencies(spark: SparkSession, assets: str, targets: str, sources:
     texts = read_files(spark, sources) if isinstance(sources, str) else sources
     known = own.select("asset_id").union(aliases.select("alias"))
     edges = graph.extract_edges(source_listing(pages_of(texts, SOURCE_KEYS, asset_from)[0]), "dataset", ["inode_id", "asset_id", "id"], known=known, normalise=False)
-    edges = graph.resolve_aliases(edges.join(own.select(F.col("asset_id").alias("child")), "child", "left_semi"), aliases)
+    edges = kept(graph.resolve_aliases(edges.join(own.select(F.col("asset_id").alias("child")), "child", "left_semi"), aliases), "edges")
     return graph.dependency_table(own, edges, models, run_id, created_at)

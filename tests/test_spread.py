@@ -50,6 +50,25 @@ def test_pages_of_a_table_are_those_of_files(spark, tmp_path):
     assert [[r.file.split("=")[1] for r in odd.collect()] for _, odd in found] == [["d3/page.json"]] * 2
 
 
+def test_pages_are_parsed_once(spark, tmp_path, capsys):
+    """Pages of sources once in all, however often their list is mentioned; the listing while its table is written."""
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "d1.json").write_text('[{"type": "dataset", "inodeId": "i2"}, {"type": "dataset", "inodeId": "j2"}, {"type": "dataset", "id": "d3"}]')
+    (tmp_path / "a.json").write_text('[{"datasetId": "d1", "name": "one"}, {"datasetId": "d2", "inodeId": "i2"}, {"datasetId": "d2", "inodeId": "j2"}, {"datasetId": null, "inodeId": "n"}]')
+    (tmp_path / "b.json").write_text('{"entries": [{"datasetId": "d3", "name": "three"}, {"datasetId": "d1", "name": "one"}]}')
+    (tmp_path / "t.json").write_text("[]")
+    edges = graph.extract_edges(landing.source_listing(landing.read_pages(spark, f"{tmp_path}/s", landing.SOURCE_KEYS, landing.BY_FILE)[0]), "dataset", ["inode_id", "id"], normalise=False)
+    out = landing.landed_dependencies(spark, f"{tmp_path}/[ab].json", f"{tmp_path}/t.json", f"{tmp_path}/s", "r", "2001-01-01")
+    plans = []
+    for df in (edges, out):
+        capsys.readouterr()
+        df.explain()
+        plans.append(capsys.readouterr().out)
+    assert plans[0].count("parseJson") == plans[0].count("FileScan text") == 1
+    assert plans[1].count("FileScan text") == plans[1].count("t.json") > 0
+    assert sorted((r.asset_id, r.parent_id or "", r.n_parents, r.n_children) for r in out.collect()) == [("d1", "d2", 2, 0), ("d1", "d3", 2, 0), ("d2", "", 0, 1), ("d3", "", 0, 1)]
+
+
 def test_sources_without_an_asset_are_spread(spark, plain_joins):
     dep = spark.range(100).select(F.col("id").alias("asset_id"), F.concat(F.lit("dm_"), F.col("id").cast("string")).alias("target_id"), *(F.lit("x").alias(c) for c in mapping.DETAILS if c not in ("asset_id", "target_id")))
     kind = F.when(F.col("id") % 10 == 0, "dataset").when(F.col("id") % 10 == 1, "data-model").when(F.col("id") % 10 < 8, "table")
